@@ -1,6 +1,6 @@
 """All named queries."""
 
-from . import kpis  # noqa: F401
+from . import kpis, stars  # noqa: F401
 from .core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
