@@ -1,6 +1,6 @@
 """All named queries."""
 
-from . import kpis, stars  # noqa: F401
+from . import files, kpis, relational, stars, streams  # noqa: F401
 from .core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
