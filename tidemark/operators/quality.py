@@ -1,20 +1,23 @@
 """File checks and readiness gates.
 
-A check runs over all files of a dataset at once and gives one row per file.
-Files are grouped by their header line, of which there are few; reports hold
-one row per file.
+A check runs over all files of a dataset in one job and gives one row per
+file. Every file is read as plain cells next to its own header line, so files
+with different columns, or with columns in another order, need no separate
+read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import storage
 from ..functions.times import strip_utc
 from ..sources.files import CSV_OPTIONS, file_listing
+from .staging import staged
 
-REPORT = "dataset string, file string, valid boolean, problem string"
+FILE = "file"
 
 
 def check_columns(df: DataFrame, required: list[str]) -> list[str]:
@@ -22,74 +25,73 @@ def check_columns(df: DataFrame, required: list[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """file and header line of every CSV file under a path."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        "value",
+def _cells(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of every CSV file under a path as an array of texts."""
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
+    commas = spark.read.options(**options).text(path).filter(F.col("_metadata.file_block_start") == 0).select(
+        F.size(F.split("value", ",")).alias("n")
     )
-    return (
-        lines.withColumn("at", F.monotonically_increasing_id())
-        .filter(F.col("block") == 0)
-        .groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    # One number: no line at the head of a file has more fields than that.
+    width = commas.agg(F.max("n")).first()[0] or 1
+    schema = StructType([StructField(f"c{i}", StringType()) for i in range(width)])
+    return spark.read.schema(schema).options(**CSV_OPTIONS | options | {"header": "false"}).csv(path).select(
+        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.array(*schema.names).alias("cells"),
     )
 
 
-def _readable(col: str, kind: str) -> Column:
+def _headers(cells: DataFrame) -> DataFrame:
+    """file, header and the place of the header line."""
+    return cells.filter(F.col("block") == 0).groupBy(FILE).agg(
+        F.transform(F.min_by("cells", "at"), lambda name: F.coalesce(name, F.lit(""))).alias("header"),
+        F.min("at").alias("first"),
+    )
+
+
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """file and header, as an array of names, of every CSV file under a path."""
+    return _headers(_cells(spark, path)).select(FILE, "header")
+
+
+def _fits(value: Column, kind: str, strict: bool) -> Column:
     """Whether a value meets the kind. Timestamps that cannot be read count as
     missing, and text is always fine."""
-    value = F.col(f"`{col}`")
     if kind == "int":
         # A missing value turns a whole column into fractions: not an int.
         return value.isNotNull() & value.try_cast("bigint").isNotNull() & ~value.contains(".")
     if kind == "float":
         return value.isNull() | value.try_cast("double").isNotNull()
+    if kind == "timestamp" and strict:
+        return value.isNull() | F.try_to_timestamp(strip_utc(value)).isNotNull()
     return F.lit(True)
 
 
-def _strict_timestamp(col: str) -> Column:
-    value = F.col(f"`{col}`")
-    return value.isNull() | F.try_to_timestamp(strip_utc(value)).isNotNull()
-
-
 def check_format(
     spark: SparkSession, dataset: str, path: str, contract: dict[str, str], strict: bool = False
 ) -> DataFrame:
     """Report of every file under the path: missing columns, or the first column
     with values of the wrong kind. ``strict`` also rejects unreadable timestamps."""
-    headers = file_headers(spark, path).groupBy("header").agg(F.collect_list("file").alias("files"))
-    reports = [spark.createDataFrame([], REPORT)]
-    for header, files in headers.collect():
-        raw = spark.read.options(**CSV_OPTIONS).csv(files)
-        missing = check_columns(raw, list(contract))
-        if missing:
-            note = f"missing columns: {', '.join(missing)}"
-            rows = [(dataset, file, False, note) for file in files]
-            reports.append(spark.createDataFrame(rows, REPORT))
-            continue
-        bad = {
-            c: F.count_if(~(_strict_timestamp(c) if strict and kind == "timestamp" else _readable(c, kind)))
-            for c, kind in contract.items()
-        }
-        per_file = raw.select("*", F.col("_metadata.file_path").alias("__file")).groupBy("__file").agg(
-            *[n.alias(f"bad_{c}") for c, n in bad.items()]
-        )
-        first_bad = F.coalesce(*[
-            F.when(F.col(f"bad_{c}") > 0, F.lit(f"{c}: expected {kind}")) for c, kind in contract.items()
-        ])
-        checked = per_file.select(F.col("__file").alias("file"), first_bad.alias("problem"))
-        listed = spark.createDataFrame([(f,) for f in files], "file string")
-        # A file with a header and no rows has no row to fail.
-        reports.append(
-            listed.join(checked, "file", "left").select(
-                F.lit(dataset).alias("dataset"), "file", F.col("problem").isNull().alias("valid"), "problem"
-            )
-        )
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+    cells = _cells(spark, path)
+    lines = cells.join(_headers(cells), FILE)
+
+    def value_of(name: str) -> Column:
+        # Position 0 means that the file lacks the column.
+        return F.try_element_at("cells", F.nullif(F.array_position("header", name), F.lit(0)).cast("int"))
+
+    is_data = F.col("at") != F.col("first")
+    counts = lines.groupBy(FILE).agg(
+        F.first("header").alias("header"),
+        *[F.count_if(is_data & ~_fits(value_of(c), kind, strict)).alias(f"bad_{c}") for c, kind in contract.items()],
+    )
+    missing = F.filter(F.array(*[F.lit(c) for c in contract]), lambda c: ~F.array_contains("header", c))
+    problem = F.when(
+        F.size(missing) > 0, F.concat(F.lit("missing columns: "), F.array_join(missing, ", "))
+    ).otherwise(F.coalesce(*[
+        F.when(F.col(f"bad_{c}") > 0, F.lit(f"{c}: expected {kind}")) for c, kind in contract.items()
+    ]))
+    return counts.select(F.lit(dataset).alias("dataset"), FILE, problem.alias("problem")).select(
+        "dataset", FILE, F.col("problem").isNull().alias("valid"), "problem"
+    )
 
 
 def check_datasets(
@@ -109,15 +111,12 @@ def required_columns_present(
     """Per dataset, whether it has files and all of them have its columns."""
     result = {}
     for dataset, path in paths.items():
-        if not storage.exists(spark, path):
-            result[dataset] = False
-            continue
-        # One header per file layout.
-        headers = [r[0] for r in file_headers(spark, path).select("header").distinct().collect()]
-        present = [
-            set(required[dataset]) <= {n.strip().strip('"') for n in header.split(",")} for header in headers
-        ]
-        result[dataset] = bool(present) and all(present)
+        wanted = F.array(*[F.lit(c) for c in required[dataset]])
+        complete = F.size(F.array_except(wanted, F.col("header"))) == 0
+        # No files give a null, which counts as a failure.
+        result[dataset] = storage.exists(spark, path) and bool(
+            file_headers(spark, path).agg(F.every(complete)).first()[0]
+        )
     return result
 
 
@@ -125,18 +124,24 @@ def valid_counts(report: DataFrame) -> DataFrame:
     return report.groupBy("dataset").agg(F.count_if("valid").alias("valid_files"))
 
 
+def _valid_files(report: DataFrame, dataset: str) -> DataFrame:
+    return report.filter("valid").filter(F.col("dataset") == dataset).select(FILE)
+
+
 def select_valid_files(report: DataFrame, dataset: str) -> list[str]:
     """Paths to read on; one entry per file."""
-    rows = report.filter("valid").filter(F.col("dataset") == dataset).select("file").collect()
-    return sorted(r[0] for r in rows)
+    spark = report.sparkSession
+    rows = _valid_files(report, dataset).orderBy(FILE).toLocalIterator()
+    return [storage.plain_path(spark, row[0]) for row in rows]
 
 
 def promote_valid_files(spark: SparkSession, report: DataFrame, ready: dict[str, str]) -> dict[str, int]:
     """Move the files that pass into their ready folder; give counts per dataset."""
     counts = dict.fromkeys(ready, 0)
     for dataset, folder in ready.items():
-        for path in select_valid_files(report, dataset):
-            storage.move_file(spark, path, folder)
+        # The files move while the report is read, so it is fixed first.
+        for row in staged(_valid_files(report, dataset), "valid-files").toLocalIterator():
+            storage.move_file(spark, storage.plain_path(spark, row[0]), folder)
             counts[dataset] += 1
     return counts
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import most_frequent, quotient
 from ..functions.labels import AGE_BANDS, age_band
 from ..functions.times import ms_to_seconds
+from ..operators.ranking import N, at_or_above, counts_within_rank, cut_offs, value_counts
+from ..operators.staging import staged
 
 
 def genre_daily_kpis(streams: DataFrame, songs: DataFrame) -> DataFrame:
@@ -114,9 +116,10 @@ def top_songs(
 
     Ties keep all songs of a rank. total_listening_time and
     avg_listening_time_per_user are the sum and mean of the listen times as
-    epoch seconds; unique_users is approximate.
+    epoch seconds; unique_users is approximate. Days on which most songs tie
+    are common, so both ranks are taken over listen counts and not over rows.
     """
-    song_day = (
+    song_day = staged(
         streams.filter(F.col("track_id").isNotNull())
         .withColumn("report_date", F.to_date("listen_time"))
         .withColumn("epoch", F.unix_timestamp("listen_time"))
@@ -126,22 +129,25 @@ def top_songs(
             F.approx_count_distinct("user_id").alias("unique_users"),
             F.sum("epoch").alias("total_listening_time"),
             F.count("epoch").alias("timed"),
-        )
+        ),
+        "song-day",
     )
-    detailed = song_day.join(
-        songs.filter(F.col("track_id").isNotNull()).select("track_id", "track_name", "artists", "track_genre"),
-        "track_id",
+    catalogue = songs.filter(F.col("track_id").isNotNull())
+    genre_day, day = ["report_date", "track_genre"], ["report_date"]
+    listens = value_counts(
+        song_day.select("track_id", "report_date", "total_listens")
+        .join(catalogue.select("track_id", "track_genre"), "track_id"),
+        genre_day, "total_listens",
     )
-    by_listens = F.col("total_listens").desc()
-    in_genre = Window.partitionBy("report_date", "track_genre").orderBy(by_listens)
-    in_day = Window.partitionBy("report_date").orderBy(by_listens)
-    best = (
-        detailed.withColumn("song_rank", F.rank().over(in_genre))
-        .filter(F.col("song_rank") <= per_genre)
-        .withColumn("genre_rank", F.rank().over(in_day))
-        .filter(F.col("genre_rank") <= per_day)
+    best_of_genre = counts_within_rank(listens, genre_day, "total_listens", per_genre)
+    of_day = best_of_genre.groupBy("report_date", "total_listens").agg(F.sum(N).alias(N))
+    best_of_day = cut_offs(counts_within_rank(of_day, day, "total_listens", per_day), day, "total_listens")
+    # Small: a row per genre and day.
+    cuts = cut_offs(at_or_above(best_of_genre, best_of_day, day, "total_listens"), genre_day, "total_listens")
+    detailed = song_day.join(
+        catalogue.select("track_id", "track_name", "artists", "track_genre"), "track_id"
     )
-    return best.select(
+    return at_or_above(detailed, cuts, genre_day, "total_listens").select(
         "report_date", "track_id", "track_name", "artists", "track_genre",
         "total_listens", "unique_users", "total_listening_time",
         quotient(F.col("total_listening_time"), F.col("timed")).alias("avg_listening_time_per_user"),

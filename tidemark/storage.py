@@ -72,3 +72,8 @@ def move_file(spark: SparkSession, path: str, folder: str) -> str:
     if fs.exists(target) or not fs.rename(source, target):
         raise FileExistsError(str(target))
     return str(target)
+
+
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """Path of a file as Spark reports it, without URI escapes."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
