@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import pytest
+
+from conftest import rows
+from tidemark import storage
+from tidemark.operators import quality
+from tidemark.schemas import FILE_CONTRACTS, REQUIRED_COLUMNS
+
+GOOD_ORDERS = "order_id,user_id,status,created_at,num_of_item\n1,2,Complete,2021-06-01 00:00:00 UTC,3\n"
+ITEMS = "id,order_id,user_id,product_id,created_at\n1,100,200,300,2021-06-01\n"
+
+
+def put(folder, name, text):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+    return folder
+
+
+def report(spark, folder, dataset="orders", **options):
+    found = quality.check_format(spark, dataset, str(folder), FILE_CONTRACTS[dataset], **options).collect()
+    return {r["file"].rsplit("/", 1)[1]: (r["valid"], r["problem"]) for r in found}
+
+
+def test_items_pass_their_contract_and_fail_the_one_of_orders(spark, tmp_path):
+    folder = put(tmp_path / "in", "test.csv", ITEMS)
+    assert report(spark, folder, "order_items") == {"test.csv": (True, None)}
+    assert report(spark, folder, "orders") == {"test.csv": (False, "missing columns: status, num_of_item")}
+
+
+@pytest.mark.parametrize("name,text,valid", [
+    ("other order", "num_of_item,extra,created_at,status,user_id,order_id\n3,x,2021-01-01,ok,2,1\n", True),
+    ("quoted names", '"order_id","user_id","status","created_at","num_of_item"\n1,2,"a, b",2021-01-01,3\n', True),
+    ("missing int", GOOD_ORDERS + "2,3,ok,2021-01-01,\n", False),
+    ("fraction", GOOD_ORDERS + "2,3,ok,2021-01-01,1.5\n", False),
+    ("text for int", GOOD_ORDERS + "two,3,ok,2021-01-01,1\n", False),
+    ("short line", GOOD_ORDERS + "2,3\n", False),
+    ("bad time", GOOD_ORDERS + "2,3,ok,some day,1\n", True),
+    ("no rows", "order_id,user_id,status,created_at,num_of_item\n", True),
+])
+def test_contract_of_orders(spark, tmp_path, name, text, valid):
+    assert report(spark, put(tmp_path, "f.csv", text))["f.csv"][0] is valid
+
+
+def test_strict_rejects_unreadable_times(spark, tmp_path):
+    put(tmp_path, "a.csv", GOOD_ORDERS + "2,3,ok,some day,1\n")
+    put(tmp_path, "b.csv", GOOD_ORDERS)
+    assert report(spark, tmp_path, strict=True) == {
+        "a.csv": (False, "created_at: expected timestamp"), "b.csv": (True, None)
+    }
+
+
+def test_each_file_is_judged_by_itself(spark, tmp_path, settings):
+    # Small blocks, so that one file is read by several tasks.
+    settings(files__maxPartitionBytes="4096")
+    long = GOOD_ORDERS + "".join(f"{i},2,ok,2021-01-01,3\n" for i in range(3000))
+    put(tmp_path, "long.csv", long)
+    put(tmp_path, "bad end.csv", long + "x,2,ok,2021-01-01,3\n")
+    put(tmp_path / "sub", "short.csv", "order_id\n1\n")
+    put(tmp_path, "notes.txt", "not checked\n")
+    assert report(spark, tmp_path) == {
+        "long.csv": (True, None), "bad%20end.csv": (False, "order_id: expected int"),
+        "short.csv": (False, "missing columns: user_id, status, created_at, num_of_item"),
+    }
+
+
+def test_valid_files_are_promoted_and_counted(spark, tmp_path):
+    put(tmp_path / "new", "good one.csv", GOOD_ORDERS)
+    put(tmp_path / "new", "bad.csv", "order_id\n1\n")
+    found = quality.check_format(spark, "orders", str(tmp_path / "new"), FILE_CONTRACTS["orders"])
+    (path,) = quality.select_valid_files(found, "orders")
+    assert path.endswith("/new/good one.csv")
+    assert quality.promote_valid_files(spark, found, {"orders": str(tmp_path / "ready")}) == {"orders": 1}
+    assert [e.name for e in storage.listing(spark, str(tmp_path / "ready"))] == ["good one.csv"]
+    assert [e.name for e in storage.listing(spark, str(tmp_path / "new"))] == ["bad.csv"]
+
+
+def test_gate_wants_exactly_one_valid_file_of_each(spark):
+    def gate(*listed):
+        df = spark.createDataFrame([(d, f, v, None) for d, f, v in listed], "dataset string, file string, valid boolean, problem string")
+        return quality.is_ready(df, ["orders", "products"])
+
+    assert gate(("orders", "a", True), ("products", "b", True), ("products", "c", False))
+    assert not gate(("orders", "a", True), ("orders", "b", True), ("products", "c", True))
+    assert not gate(("orders", "a", True))
+
+
+def test_required_columns(spark, tmp_path):
+    put(tmp_path / "streams", "1.csv", "user_id,track_id,listen_time\n1,2,3\n")
+    put(tmp_path / "users", "1.csv", "user_id,user_name\n1,2\n")
+    paths = {d: str(tmp_path / d) for d in ("streams", "users", "songs")}
+    assert quality.required_columns_present(spark, paths, REQUIRED_COLUMNS) == {
+        "streams": True, "users": False, "songs": False
+    }
+    put(tmp_path / "streams", "2.csv", "user_id,track_id\n1,2\n")
+    assert quality.required_columns_present(spark, paths, REQUIRED_COLUMNS)["streams"] is False
+    (tmp_path / "songs").mkdir()
+    assert quality.required_columns_present(spark, paths, REQUIRED_COLUMNS)["songs"] is False
+
+
+def test_inputs_present_wants_a_file_that_is_not_empty(spark, tmp_path):
+    put(tmp_path / "a", "x.csv", "1")
+    put(tmp_path / "b", "x.csv", "")
+    paths = [str(tmp_path / n) for n in "ab"]
+    assert quality.inputs_present(spark, paths[:1])
+    assert not quality.inputs_present(spark, paths)
+    put(tmp_path / "b", "y.csv", "1")
+    assert quality.inputs_present(spark, paths)
+    assert not quality.inputs_present(spark, [*paths, str(tmp_path / "c")])
+
+
+def test_columns_a_frame_lacks(spark):
+    assert quality.check_columns(spark.createDataFrame([(1,)], "a int"), ["b", "a", "c"]) == ["b", "c"]
+    assert rows(quality.valid_counts(spark.createDataFrame([("d", True), ("d", False)], "dataset string, valid boolean"))) == [("d", 1)]

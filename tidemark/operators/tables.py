@@ -110,7 +110,8 @@ class KeyedTable:
         """Merge a source and publish the result; a batch already in is left out.
 
         Touched dates are those of the source and those in which the table
-        holds one of the source's keys, so a row may move between dates.
+        holds one of the source's keys, so a row may move between dates. A
+        source without dates can only change rows the table holds.
         """
         if feed is not None and batch is not None and batch <= self.last_batch(feed):
             return self
@@ -118,9 +119,11 @@ class KeyedTable:
         dates = None
         if partition_by:
             held = self.read().select(*keys, partition_by).join(source.select(*keys), keys, "left_semi")
-            touched = source.select(partition_by).union(held.select(partition_by)).distinct()
+            touched = held.select(partition_by)
+            if partition_by in source.columns:
+                touched = touched.union(source.select(partition_by))
             # One value per partition folder: bounded by the table's layout.
-            dates = [row[0] for row in touched.collect()]
+            dates = [row[0] for row in touched.distinct().collect()]
         return self.replace(merge(self.read(dates), source, keys, **options), dates, feed, batch)
 
 

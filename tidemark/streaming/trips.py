@@ -18,9 +18,10 @@ from ..sources.envelope import parse_envelope
 
 START_FIELDS = ["pickup_datetime", "estimated_fare_amount"]
 ORDER = "sequence"
+LAYOUT = "pickup_date"
 TRIPS = columns(
     "trip_id string, pickup_datetime string, estimated_fare_amount decimal(18,2), "
-    "fare_amount decimal(18,2), tip_amount decimal(18,2), total_amount decimal(18,2)"
+    "fare_amount decimal(18,2), tip_amount decimal(18,2), total_amount decimal(18,2), pickup_date date"
 )
 
 
@@ -57,9 +58,17 @@ def decode_ends(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     ), bad
 
 
-def _as_trips(starts: DataFrame) -> DataFrame:
-    return starts.select(*[
-        (F.col(f.name) if f.name in starts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+def create_trip_table(table: KeyedTable) -> KeyedTable:
+    """Empty trip table, laid out by pickup date so that a batch rewrites the
+    dates of its trips only."""
+    return table.create(table.spark.createDataFrame([], TRIPS), LAYOUT)
+
+
+def _as_trips(starts: DataFrame, grain: str) -> DataFrame:
+    picked_up = F.substring("pickup_datetime", 1, 10).try_cast("date")
+    dated = starts.withColumn(LAYOUT, F.trunc(picked_up, "month") if grain == "month" else picked_up)
+    return dated.select(*[
+        (F.col(f.name) if f.name in dated.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in TRIPS
     ], ORDER)
 
@@ -67,16 +76,27 @@ def _as_trips(starts: DataFrame) -> DataFrame:
 def _start_merge(trips: DataFrame, starts: DataFrame, _keys: list[str]) -> DataFrame:
     # Order travels with the rows while the last start of a trip is chosen.
     ordered = trips.withColumn(ORDER, F.lit(None).cast(starts.schema[ORDER].dataType))
-    return apply_starts(ordered, _as_trips(starts), [ORDER]).drop(ORDER)
+    return apply_starts(ordered, starts, [ORDER]).drop(ORDER)
 
 
 def _end_merge(trips: DataFrame, ends: DataFrame, _keys: list[str]) -> DataFrame:
     return apply_ends(trips, ends, [ORDER])
 
 
-def apply_start_records(table: KeyedTable, records: DataFrame, batch: int | None = None) -> None:
+def _upsert(table: KeyedTable, rows: DataFrame, merge, feed: str, batch: int | None) -> None:
+    """Merge the rows of a batch, which are decoded once and kept meanwhile."""
+    kept = rows.persist()
+    try:
+        table.upsert(kept, KEY, merge, feed=feed, batch=batch)
+    finally:
+        kept.unpersist()
+
+
+def apply_start_records(
+    table: KeyedTable, records: DataFrame, batch: int | None = None, grain: str = "day"
+) -> None:
     started, _failed = decode_starts(records)
-    table.upsert(started, KEY, _start_merge, feed="starts", batch=batch)
+    _upsert(table, _as_trips(started, grain), _start_merge, "starts", batch)
 
 
 def apply_end_records(
@@ -84,7 +104,7 @@ def apply_end_records(
 ) -> None:
     """Patch known trips; then refresh the daily fares once for the batch."""
     ended, _failed = decode_ends(records)
-    table.upsert(ended, KEY, _end_merge, feed="ends", batch=batch)
+    _upsert(table, ended, _end_merge, "ends", batch)
     if report_path is not None:
         run_id = f"{batch:010d}-{table.version():010d}"
         write_json(daily_fares(table.read()), report_path, run_id, "date")
@@ -92,16 +112,18 @@ def apply_end_records(
 
 def start_lifecycle(
     records: DataFrame, table: KeyedTable, checkpoint: str, kind: str, trigger: dict = EVERY_20_SECONDS,
-    report_path: str | None = None,
+    report_path: str | None = None, grain: str = "day",
 ) -> StreamingQuery:
     """Keep the trip table up to date from a stream of ``starts`` or ``ends``.
 
+    ``grain`` is the width of the table's date folders, ``day`` or ``month``.
+
     The table remembers the last batch of each feed, so a batch that is run
     again after a failure changes nothing.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         if kind == "starts":
-            apply_start_records(table, batch, batch_id)
+            apply_start_records(table, batch, batch_id, grain)
         else:
             apply_end_records(table, batch, batch_id, report_path)
 
