@@ -12,6 +12,8 @@ from tidemark.operators import merge
 SCHEMA = "k int, j int, a string, b int"
 KEYS = ["k", "j"]
 key = st.tuples(st.integers(0, 3) | st.none(), st.integers(0, 1) | st.none())
+# Broadcast limits under which a local frame counts as small, and as large.
+SMALL, LARGE = "10MB", "-1"
 SLOW = hypothesis_settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
@@ -34,7 +36,7 @@ def listed(values):
 
 @pytest.fixture(params=["broadcast", "shuffled"])
 def path(request, settings):
-    settings(autoBroadcastJoinThreshold="-1" if request.param == "shuffled" else "10MB")
+    settings(autoBroadcastJoinThreshold=LARGE if request.param == "shuffled" else SMALL)
     return request.param
 
 
@@ -63,7 +65,7 @@ def columns_by_hand(target, source):
 
 
 @SLOW
-@given(target=keyed_rows(True), source=keyed_rows(True), limit=st.sampled_from(["-1", "10MB"]))
+@given(target=keyed_rows(True), source=keyed_rows(True), limit=st.sampled_from([LARGE, SMALL]))
 def test_merge_columns_updates_and_inserts_different_columns(spark, target, source, limit):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     merged = merge.merge_columns(frame(spark, target), frame(spark, source), KEYS, update=["a"], insert=["b"])
@@ -72,7 +74,7 @@ def test_merge_columns_updates_and_inserts_different_columns(spark, target, sour
 
 
 @SLOW
-@given(target=keyed_rows(True), source=keyed_rows(False), limit=st.sampled_from(["-1", "10MB"]), insert=st.booleans())
+@given(target=keyed_rows(True), source=keyed_rows(False), limit=st.sampled_from([LARGE, SMALL]), insert=st.booleans())
 def test_patches_apply_in_order(spark, target, source, limit, insert):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     state = {k: [a, b] for k, a, b in target if is_key(k)}
@@ -148,3 +150,9 @@ def test_keys_must_be_a_list_of_known_columns(spark):
     for keys in ("k", [], ["nope"]):
         with pytest.raises(ValueError):
             merge.merge_all(df, df, keys)
+
+
+def test_both_ways_to_merge_are_taken(spark, path):
+    merged = merge.merge_columns(frame(spark, []), frame(spark, []), KEYS, ["a"], ["a"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert ("FullOuter" in plan) is (path == "shuffled")

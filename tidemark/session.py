@@ -82,15 +82,17 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+    if folder:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(folder)
+        return folder.rstrip("/")
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

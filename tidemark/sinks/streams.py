@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -48,7 +49,10 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Wait until every query has ended; a failure of any of them ends all."""
     try:
         while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination(10)
+            try:
+                spark.streams.awaitAnyTermination(10)
+            except StreamingQueryException:
+                pass  # some query of the session; the ones waited for are checked below
             spark.streams.resetTerminated()
             _raise_failure(queries)
         _raise_failure(queries)
