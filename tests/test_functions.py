@@ -86,13 +86,15 @@ def test_envelopes_that_are_no_json_object_fail_alone(spark):
     payloads = {
         "good": pack('{"a": "1", "b": "x"}'), "missing": pack('{"b": "x"}'), "null": pack('{"a": null}'),
         "array": pack('[{"a": "1"}]'), "scalar": pack("5"), "nothing": pack(""), "json null": pack("null"),
-        "broken": pack('{"a": '), "no base64": "%%%", "none": None, "number": pack('{"a": 7}'),
+        "broken": pack('{"a": '), "trailing": pack('{"a": "1"} more'), "single quotes": pack("{'a': '1'}"),
+        "twice": pack('{"a": "1", "a": "2"}'), "nested": pack('{"a": "1", "c": {"d": [1]}}'),
+        "no base64": "%%%", "none": None, "number": pack('{"a": 7}'),
     }
     df = spark.createDataFrame(list(payloads.items()), "id string, data string")
     ok, failed = decode_envelope(df, columns("a string, b string"), not_null=["a"])
-    assert {r["id"]: r["a"] for r in ok.collect()} == {"good": "1", "missing": None, "number": "7"}
+    assert {r["id"]: r["a"] for r in ok.collect()} == {"good": "1", "missing": None, "number": "7", "twice": "2", "nested": "1"}
     assert {r["id"]: r["data"] for r in failed.collect()} == {
-        k: v for k, v in payloads.items() if k not in ("good", "missing", "number")
+        k: v for k, v in payloads.items() if k not in ("good", "missing", "number", "twice", "nested")
     }
 
 

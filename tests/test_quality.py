@@ -36,7 +36,7 @@ def test_items_pass_their_contract_and_fail_the_one_of_orders(spark, tmp_path):
     ("text for int", GOOD_ORDERS + "two,3,ok,2021-01-01,1\n", False),
     ("short line", GOOD_ORDERS + "2,3\n", False),
     ("bad time", GOOD_ORDERS + "2,3,ok,some day,1\n", True),
-    ("no rows", "order_id,user_id,status,created_at,num_of_item\n", True),
+    ("no rows", "order_id,user_id,status,created_at,num_of_item\n", False),
 ])
 def test_contract_of_orders(spark, tmp_path, name, text, valid):
     assert report(spark, put(tmp_path, "f.csv", text))["f.csv"][0] is valid

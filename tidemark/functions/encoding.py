@@ -11,6 +11,7 @@ CSV_LINE_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
 
 def decode_text(data: Column) -> Column:
@@ -28,7 +29,7 @@ def json_object_fields(text: Column) -> Column:
     A field that is present but null keeps its key in the map, which tells it
     apart from a field that is missing.
     """
-    return F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    return F.from_json(text, "map<string,string>", JSON_OPTIONS)
 
 
 def csv_line(*cols) -> Column:

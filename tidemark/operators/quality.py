@@ -18,6 +18,7 @@ from ..sources.files import CSV_OPTIONS, file_listing
 from .staging import staged
 
 FILE = "file"
+NO_ROWS = "no rows"
 
 
 def check_columns(df: DataFrame, required: list[str]) -> list[str]:
@@ -69,8 +70,9 @@ def _fits(value: Column, kind: str, strict: bool) -> Column:
 def check_format(
     spark: SparkSession, dataset: str, path: str, contract: dict[str, str], strict: bool = False
 ) -> DataFrame:
-    """Report of every file under the path: missing columns, or the first column
-    with values of the wrong kind. ``strict`` also rejects unreadable timestamps."""
+    """Report of every file under the path: missing columns, no rows, or the first
+    column with values of the wrong kind. ``strict`` also rejects unreadable
+    timestamps."""
     cells = _cells(spark, path)
     lines = cells.join(_headers(cells), FILE)
 
@@ -80,13 +82,13 @@ def check_format(
 
     is_data = F.col("at") != F.col("first")
     counts = lines.groupBy(FILE).agg(
-        F.first("header").alias("header"),
+        F.first("header").alias("header"), F.count_if(is_data).alias("rows"),
         *[F.count_if(is_data & ~_fits(value_of(c), kind, strict)).alias(f"bad_{c}") for c, kind in contract.items()],
     )
     missing = F.filter(F.array(*[F.lit(c) for c in contract]), lambda c: ~F.array_contains("header", c))
     problem = F.when(
         F.size(missing) > 0, F.concat(F.lit("missing columns: "), F.array_join(missing, ", "))
-    ).otherwise(F.coalesce(*[
+    ).when(F.col("rows") == 0, F.lit(NO_ROWS)).otherwise(F.coalesce(*[
         F.when(F.col(f"bad_{c}") > 0, F.lit(f"{c}: expected {kind}")) for c, kind in contract.items()
     ]))
     return counts.select(F.lit(dataset).alias("dataset"), FILE, problem.alias("problem")).select(

@@ -108,7 +108,7 @@ def _logs(spark, sf):
 
 
 def _metric(spark, sf, name):
-    return caught_up(mobile.METRICS[name](_logs(spark, sf)), name, mobile.PARTITIONS[name])
+    return caught_up(mobile.metric_files(_logs(spark, sf), name), name, mobile.PARTITIONS[name])
 
 
 def _rounded(df, *names):

@@ -4,27 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.encoding import decode_text, json_object_fields
+from ..functions.encoding import JSON_OPTIONS, decode_text, json_object_fields
+
+REJECTED = "__rejected"
 
 
 def parse_envelope(
     df: DataFrame, schema: StructType, data_col: str = "data", not_null: list[str] = ()
 ) -> DataFrame:
-    """Add ``payload`` (the fields) and ``valid`` to every record.
+    """Add ``payload``, which holds the fields, and ``valid`` to every record.
 
     A record is valid when its data decodes to a JSON object and no field of
     ``not_null`` is given as null; a field that is missing is allowed.
     """
     text = decode_text(F.col(data_col))
-    fields = json_object_fields(text)
-    valid: Column = fields.isNotNull()
-    typed = df.withColumn("payload", F.from_json(text, schema))
+    # Anything but an object ends up in the extra field.
+    wide = StructType([*schema, StructField(REJECTED, StringType())])
+    payload = F.from_json(text, wide, JSON_OPTIONS | {"columnNameOfCorruptRecord": REJECTED})
+    parsed = df.withColumn("payload", payload)
+    valid: Column = (
+        F.col("payload").isNotNull() & F.col(f"payload.{REJECTED}").isNull() & F.rtrim(text).endswith("}")
+    )
     for name in not_null:
-        given = F.map_contains_key(fields, F.lit(name))
-        valid = valid & ~(given & F.col(f"payload.{name}").isNull())
-    return typed.withColumn("valid", F.coalesce(valid, F.lit(False)))
+        # The text is looked at again only where the field has no value.
+        unnamed = F.when(
+            F.col(f"payload.{name}").isNull(), ~F.map_contains_key(json_object_fields(text), F.lit(name))
+        ).otherwise(F.lit(True))
+        valid = valid & unnamed
+    return parsed.withColumn("valid", F.coalesce(valid, F.lit(False)))
 
 
 def decode_envelope(
@@ -33,6 +42,6 @@ def decode_envelope(
     """Split records into decoded ones and failed ones, which stay as received."""
     parsed = parse_envelope(df, schema, data_col, not_null)
     others = [c for c in df.columns if c != data_col]
-    ok = parsed.filter("valid").select(*others, "payload.*")
+    ok = parsed.filter("valid").select(*others, *[f"payload.{name}" for name in schema.names])
     failed = parsed.filter("NOT valid").select(*df.columns)
     return ok, failed
