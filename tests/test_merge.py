@@ -156,3 +156,21 @@ def test_both_ways_to_merge_are_taken(spark, path):
     merged = merge.merge_columns(frame(spark, []), frame(spark, []), KEYS, ["a"], ["a"])
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert ("FullOuter" in plan) is (path == "shuffled")
+
+
+def test_update_without_insert(spark, path):
+    target = frame(spark, [((1, 0), "x", 1)])
+    source = frame(spark, [((1, 0), "y", 2), ((3, 0), "y", 3), ((None, 0), "y", 3)])
+    assert rows(merge.merge_columns(target, source, KEYS, ["a"], None)) == [(1, 0, "y", 1)]
+
+
+def test_unmatched_of_a_small_frame_against_a_large_one(spark, tmp_path, settings):
+    at = str(tmp_path / "large")
+    spark.range(5000).select((F.col("id") % 50).cast("int").alias("k"), F.lit(0).alias("j"), F.lit("x").alias("a"),
+                             F.lit(1).alias("b")).write.parquet(at)
+    settings(autoBroadcastJoinThreshold="2000")
+    large = spark.read.parquet(at)
+    source = frame(spark, [((1, 0), "y", 2), ((70, 0), "y", 2), ((None, 0), "y", 2), ((70, None), "y", 2)])
+    found = merge.unmatched(source, large, KEYS)
+    assert rows(found) == [(70, 0, "y", 2), (70, None, "y", 2), (None, 0, "y", 2)]
+    assert "LeftSemi" in found._jdf.queryExecution().executedPlan().toString()

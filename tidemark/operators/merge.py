@@ -71,11 +71,21 @@ def one_row_per_key(
     raise ValueError(f"unknown on_duplicate: {on_duplicate}")
 
 
-def _without_keys_of(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows whose key is not in the source; the target is not shuffled
-    while the keys of the source are small enough to broadcast."""
-    others = source.select(*keys).filter(_all_set(keys))
-    return target.join(others, keys, "left_anti").select(*target.columns)
+def _keys_seen(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the source that the target holds: no more than the source has,
+    found without a shuffle of the target while the source is small."""
+    wanted = source.select(*keys).filter(_all_set(keys))
+    return target.select(*keys).join(wanted, keys, "left_semi").distinct()
+
+
+def _without_keys_of(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key the other frame does not hold. Neither side is shuffled
+    while one of them is small enough to broadcast."""
+    if fits_broadcast(rows) and not fits_broadcast(other):
+        others = _keys_seen(other, rows, keys)
+    else:
+        others = other.select(*keys).filter(_all_set(keys))
+    return rows.join(others, keys, "left_anti").select(*rows.columns)
 
 
 def merge_all(
@@ -138,8 +148,7 @@ def _merge_pairs(
         return matched_or_kept(target.join(known, keys, "left"))
     if fits_broadcast(incoming):
         # Two passes over the target, no shuffle of it.
-        seen = target.select(*keys).join(known.select(*keys), keys, "left_semi").distinct()
-        new_rows = known.join(seen, keys, "left_anti").unionByName(nameless).select(*row(True))
+        new_rows = known.join(_keys_seen(target, known, keys), keys, "left_anti").unionByName(nameless).select(*row(True))
         return matched_or_kept(target.join(known, keys, "left")).unionByName(new_rows)
     # One pass over each side. Rows without a key stay out of the shuffle.
     marked = target.withColumn(IN_TARGET, F.lit(True))
@@ -158,21 +167,22 @@ def merge_columns(
     source: DataFrame,
     keys: list[str],
     update: list[str],
-    insert: list[str],
+    insert: list[str] | None,
     stamp: dict[str, Column] | None = None,
     on_duplicate: str = "error",
     order_by: list[str] | None = None,
 ) -> DataFrame:
     """Update some columns of matched rows; insert others with the listed columns.
+    With ``insert=None`` others are left out.
 
     ``stamp`` gives columns set on both, such as a load time chosen by the
     caller. Columns not listed stay as they are, or null in a new row.
     """
     _check_keys(keys, target, source)
     stamp = stamp or {}
-    wanted = keys + [c for c in source.columns if c not in keys and c in {*update, *insert}]
+    wanted = keys + [c for c in source.columns if c not in keys and c in {*update, *(insert or [])}]
     unique = one_row_per_key(source, keys, on_duplicate, order_by).select(*wanted)
-    if not update and not stamp:
+    if not update and not stamp and insert is not None:
         fresh = _without_keys_of(unique, target, keys).select(
             *[(F.col(f.name) if f.name in insert or f.name in keys else F.lit(None)).cast(f.dataType).alias(f.name)
               for f in target.schema]
@@ -182,7 +192,7 @@ def merge_columns(
     def taken(names: list[str]) -> dict[str, Column]:
         return {n: F.col(SOURCE + n) for n in names if n not in keys} | stamp
 
-    return _merge_pairs(target, unique, keys, taken(update), taken(insert), insert=True)
+    return _merge_pairs(target, unique, keys, taken(update), taken(insert or []), insert is not None)
 
 
 def patch_items(

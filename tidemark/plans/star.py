@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import flag_to_boolean
 from ..operators.ids import assign_ids, next_id
-from ..operators.merge import merge_columns
+from ..operators.merge import merge_columns, one_row_per_key, unmatched
 from ..operators.watermark import rows_since_target
 
 # Columns the merges write, in table order.
@@ -76,8 +76,7 @@ def merge_fact_viewings(
 ) -> DataFrame:
     """Update known viewings, which keep their id; number and insert the others."""
     columns = [c for c in FACT_COLUMNS if c not in keys]
-    merged = merge_columns(fact, staged, keys, columns, columns, **options)
-    known = merged.filter(F.col(FACT_ID).isNotNull())
-    fresh = merged.filter(F.col(FACT_ID).isNull()).drop(FACT_ID)
+    known = merge_columns(fact, staged, keys, columns, None, **options)
+    fresh = unmatched(one_row_per_key(staged, keys, **options), fact, keys)
     numbered = assign_ids(fresh, FACT_ID, ["viewed_at", "apartment_id", "user_id"], next_id(fact, FACT_ID))
     return known.unionByName(numbered.select(*fact.columns))

@@ -198,7 +198,8 @@ def validated_rows(spark, sf):
 
 @query("readiness_gates", """
 select * from (values ('columns: orders', false), ('columns: order_items', true), ('columns: products', true),
-  ('inputs present', true), ('inputs present, one missing', false)) as t(gate, passed)""")
+  ('inputs present', true), ('inputs present, one missing', false), ('one valid file of each', false))
+  as t(gate, passed)""")
 def readiness_gates(spark, sf):
     paths = _landing(spark, sf)
     required = {d: list(c) for d, c in FILE_CONTRACTS.items()}
@@ -210,4 +211,6 @@ def readiness_gates(spark, sf):
         "inputs present, one missing",
         quality.inputs_present(spark, [*paths.values(), scratch_path(spark, "nothing-here")]),
     ))
+    report = quality.check_datasets(spark, paths, FILE_CONTRACTS)
+    rows.append(("one valid file of each", quality.is_ready(report, list(FILE_CONTRACTS))))
     return spark.createDataFrame(rows, "gate string, passed boolean")
