@@ -63,8 +63,9 @@ def hourly_kpis(streams: DataFrame, songs: DataFrame, users: DataFrame) -> DataF
     """Listeners, top artist, sessions per user, track diversity and age group.
 
     A session is a user at one listen time. All facets of an hour come from
-    one grouping-sets pass, which collapses each facet before the shuffle; the
-    second step sees one row per distinct facet value.
+    one grouping-sets pass, which counts each distinct facet value; users,
+    sessions and tracks are then added up by hash, so that only the artists and
+    age groups of an hour are left to be compared.
     """
     heard = (
         streams.select(
@@ -88,14 +89,19 @@ def hourly_kpis(streams: DataFrame, songs: DataFrame, users: DataFrame) -> DataF
         return F.col("facet") == F.lit(left_out)
 
     users_, sessions, tracks, artists, ages = map(is_set, sets)
-    per_hour = counted.groupBy(*hour).agg(
-        F.count_if(users_).alias("unique_listeners"),
-        F.count_if(sessions).alias("sessions"),
-        F.count_if(tracks).alias("tracks"),
+    # Outside its own facet a label column is null.
+    added = counted.groupBy(*hour, "facet", F.coalesce("artists", "age_group").alias("label")).agg(
+        F.count("*").alias("n"), F.sum("plays").alias("plays")
+    )
+    named = F.col("label").isNotNull()
+    per_hour = added.groupBy(*hour).agg(
+        F.sum(F.when(users_, F.col("n"))).alias("unique_listeners"),
+        F.sum(F.when(sessions, F.col("n"))).alias("sessions"),
+        F.sum(F.when(tracks, F.col("n"))).alias("tracks"),
         F.sum(F.when(tracks, F.col("plays"))).alias("plays"),
-        F.max(F.when(artists & F.col("artists").isNotNull(), F.col("plays"))).alias("listen_counts"),
-        most_frequent(F.col("artists"), F.col("plays"), artists & F.col("artists").isNotNull()).alias("top_artist"),
-        most_frequent(F.col("age_group"), F.col("plays"), ages & F.col("age_group").isNotNull()).alias("age_group"),
+        F.max(F.when(artists & named, F.col("plays"))).alias("listen_counts"),
+        most_frequent(F.col("label"), F.col("plays"), artists & named).alias("top_artist"),
+        most_frequent(F.col("label"), F.col("plays"), ages & named).alias("age_group"),
     )
     return per_hour.filter(F.col("top_artist").isNotNull()).select(
         *hour,
