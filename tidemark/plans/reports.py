@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import to_money, to_ratio
 from ..operators.merge import merge_all, patch_items, replace_by_key
+from ..operators.staging import staged
 from ..operators.tables import KeyedTable
 
 # Keys of the report tables.
@@ -31,8 +32,10 @@ def track_report_rows(top_songs: DataFrame) -> DataFrame:
 
 
 def patch_track_reports(target: DataFrame, top_songs: DataFrame) -> DataFrame:
-    """Set the four figures; other attributes of the report stay."""
-    return patch_items(target, track_report_rows(top_songs), REPORT_KEYS["track_level_reports"])
+    """Set the four figures; other attributes of the report stay. The merge reads
+    the figures several times, so they are worked out once."""
+    rows = staged(track_report_rows(top_songs), "track-reports")
+    return patch_items(target, rows, REPORT_KEYS["track_level_reports"])
 
 
 def category_report_rows(summary: DataFrame) -> DataFrame:
@@ -66,4 +69,4 @@ def publish_report(table: KeyedTable, rows: DataFrame, name: str) -> KeyedTable:
     """Keep a report table: create it, or replace the rows the KPIs bring."""
     if not table.exists():
         return table.create(rows)
-    return table.upsert(rows, REPORT_KEYS[name], merge=replace_by_key)
+    return table.upsert(staged(rows, name), REPORT_KEYS[name], merge=replace_by_key)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import to_money
 from ..operators import ids, merge, tables, watermark
+from ..operators.staging import staged
 from ..plans import commerce, extracts, lakehouse, listening, reports, star
 from ..session import scratch_path
 from ..sources.files import read_keyed
@@ -431,7 +432,7 @@ select t as track_id, {day('d')} as report_date, n as total_listens, cast(total
   case when n > 1 then 'kept' end as note from rows""")
 def track_report_patch(spark, sf):
     """Reports of tracks heard more than once exist and carry a note, which stays."""
-    best = listening.top_songs(b.line_streams(spark, sf), b.songs(spark, sf))
+    best = staged(listening.top_songs(b.line_streams(spark, sf), b.songs(spark, sf)), "best")
     rows = reports.track_report_rows(best)
     target = rows.filter(F.col("total_listens") > 1).withColumn("total_listens", F.lit(-1).cast("bigint")).withColumn(
         "unique_users", F.lit(None).cast("bigint")
