@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import SF_DIR
+from tidemark.registry import ORACLES, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -31,17 +32,19 @@ def plain(frame: pd.DataFrame) -> list[tuple]:
     return sorted(listed, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    got = entry_points.queries()[name](spark, SF_DIR).toPandas()
-    want = duck.sql(entry_points.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF_DIR).toPandas()
+    want = duck.sql(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert plain(got) == plain(want)
     assert len(got) > 0
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry_has_a_stable_schema(spark):
