@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import line_dedup, packing, quality, simhash, token_counts
+from . import line_dedup, packing, quality, simhash, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +39,22 @@ def _simhash(table):
     return simhash.near_duplicates(table("documents"))
 
 
+@query("op4_warc_transactions", r"""
+    with hashed as (
+        select page_id, octet_length(encode(coalesce(html, ''))) as n, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
+    ), lettered as (
+        select page_id, n, h, list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(h, 5 * (i // 4)::int + 1, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int, 1) for i in range(32)],
+            'string_agg', '') as digest, max(page_id) over (partition by html) as original from hashed
+    )
+    select page_id, n::bigint as payload_bytes, digest as payload_digest,
+        case when page_id = original then 'response' else 'revisit' end as record_type,
+        case when page_id <> original then original end as refers_to from lettered
+""")
+def _warc(table):
+    return warc.round_trip(table("pages"))
+
+
 @query("op7_cost_balanced_packing")
 def _packing(table):
     return packing.pack(table("documents"), tokenizer_path("byte_bpe_50k.json"))
