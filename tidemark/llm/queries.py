@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import line_dedup, packing, quality, simhash, token_counts, warc
+from . import line_dedup, packing, quality, simhash, token_counts, url_trust, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,64 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _url_trust_sql() -> str:
+    """The same steps over the whole tables, every iteration a table expression."""
+    def fits(host, path, rule):
+        cut = rule.index("/")
+        return (f"(({host} = '{rule[:cut]}' or ends_with({host}, '.{rule[:cut]}')) and starts_with({path}, '{rule[cut:]}'))")
+
+    def case(host, path, value):
+        ordered = sorted(url_trust.RULES, key=lambda r: -len(r[1]))
+        return "case " + " ".join(f"when {fits(host, path, r)} then '{value(v, r)}'" for v, r in ordered) + " end"
+
+    lower = f"'{url_trust.UPPER}', '{url_trust.LOWER}'"
+    link = url_trust.LINK.replace("'", "''")
+    steps = "".join(f"""
+    , s{i} as materialized (
+        select kind, host, sum(score) as score from (
+            select kind, host, score from s0
+            union all select kind, way.dest, {url_trust.DAMPING} * score * share from s{i - 1} join way using (kind, host)
+        ) group by kind, host
+    )""" for i in range(1, url_trust.ITERATIONS + 1))
+    return f"""
+    with known as materialized (
+        select page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {lower}) as host,
+            regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path, html from pages
+    ), judged as materialized (
+        select page_id, host, path, {case("host", "path", lambda v, r: r)} as rule,
+            {case("host", "path", lambda v, r: v)} as verdict from known
+    ), pair as materialized (
+        select src, dst, count(*) as n from (
+            select host as src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {lower}) as dst
+            from known where host <> '') where src <> dst group by all
+    ), seed as (
+        select host, 2 * count(*) filter (verdict = 'allow') > count(*) as trust,
+            2 * count(*) filter (verdict = 'block') > count(*) as distrust from judged where host <> '' group by host
+        union all select host, coalesce(v = 'allow', false), coalesce(v = 'block', false) from (
+            select host, {case("host", "'/'", lambda v, r: v)} as v from (select distinct dst as host from pair)
+            where host not in (select host from judged))
+    ), way as materialized (
+        select kind, host, dest, n / sum(n) over (partition by kind, host) as share from (
+            select 'trust' as kind, src as host, dst as dest, n from pair
+            union all select 'distrust', dst, src, n from pair)
+    ), s0 as materialized (
+        select 'trust' as kind, host, {1 - url_trust.DAMPING} as score from seed where trust
+        union all select 'distrust', host, {1 - url_trust.DAMPING} from seed where distrust
+    ){steps}, per_host as (
+        select host, coalesce(sum(score) filter (kind = 'trust'), 0) as trust,
+            coalesce(sum(score) filter (kind = 'distrust'), 0) as distrust from s{url_trust.ITERATIONS} group by host
+    )
+    select page_id, host, path, rule, coalesce(verdict, case when distrust >= {url_trust.SUSPECT * (1 - url_trust.DAMPING)}
+        and distrust > trust then 'block' else 'allow' end) as verdict
+    from judged left join per_host using (host)
+    """
+
+
+@query("op1_url_trust", _url_trust_sql())
+def _url_trust(table):
+    return url_trust.judge_urls(table("pages")).drop("trust", "distrust")
+
+
 @query("op2_simhash_near_dedup")
 def _simhash(table):
     return simhash.near_duplicates(table("documents"))
