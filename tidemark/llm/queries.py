@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import line_dedup, packing, quality, simhash, token_counts, url_trust, warc
+from . import line_dedup, packing, pseudonyms, quality, simhash, token_counts, url_trust, warc
+
+# Over the supplied tables only; a real key is a secret and comes from outside.
+PSEUDONYM_KEY = "supplied tables"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,6 +100,11 @@ def _simhash(table):
     return simhash.near_duplicates(table("documents"))
 
 
+@query("op3_feistel_pseudonyms")
+def _pseudonyms(table):
+    return pseudonyms.pseudonymise(table("documents"), PSEUDONYM_KEY)
+
+
 @query("op4_warc_transactions", r"""
     with hashed as (
         select page_id, octet_length(encode(coalesce(html, ''))) as n, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
