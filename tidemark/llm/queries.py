@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import line_dedup, packing, pseudonyms, quality, simhash, token_counts, url_trust, warc
+from . import decontaminate, line_dedup, packing, pseudonyms, quality, simhash, token_counts, url_trust, warc
 
 # Over the supplied tables only; a real key is a secret and comes from outside.
 PSEUDONYM_KEY = "supplied tables"
@@ -121,6 +121,11 @@ def _warc(table):
     return warc.round_trip(table("pages"))
 
 
+@query("op5_latent_decontamination")
+def _decontamination(table):
+    return decontaminate.contaminated(table("documents"), table("benchmark"))
+
+
 @query("op7_cost_balanced_packing")
 def _packing(table):
     return packing.pack(table("documents"), tokenizer_path("byte_bpe_50k.json"))
