@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, line_dedup, packing, pseudonyms, quality, simhash, token_counts, url_trust, warc
+from . import decontaminate, line_dedup, packing, preferences, pseudonyms, quality, simhash, token_counts, url_trust, warc
 
 # Over the supplied tables only; a real key is a secret and comes from outside.
 PSEUDONYM_KEY = "supplied tables"
@@ -126,6 +127,56 @@ def _decontamination(table):
     return decontaminate.contaminated(table("documents"), table("benchmark"))
 
 
+def _preferences_sql() -> str:
+    def side(name):
+        return f"""
+            coalesce(string_agg(head || body, '' order by turn) filter (not common and side = '{name}'), '') as {name},
+            coalesce(string_agg(span, ',' order by turn) filter (not common and trained and side = '{name}'), '') as {name}_mask"""
+
+    close = preferences.CLOSE.strip()
+    return f"""
+    with last as (
+        select conv_id, max(turn) as last_turn, arg_max(text, turn) as last_text from conversations
+        where role = 'assistant' group by conv_id
+    ), pairs as (
+        select 'chosen' as side, conv_id, turn, role, text from conversations
+        union all
+        select 'rejected', c.conv_id, turn, role, case when turn = l.last_turn then coalesce(o.last_text, '') else text end
+        from conversations c left join last l on c.conv_id = l.conv_id left join last o on o.conv_id = c.conv_id + 1
+    ), parting as (
+        select conv_id, min(turn) as parting from (
+            select conv_id, turn from pairs group by conv_id, turn
+            having count(*) < 2 or count(distinct text) > 1 or count(distinct role) > 1) group by conv_id
+    ), said as (
+        select side, p.conv_id, turn, coalesce(role = 'assistant', false) as trained, parting is null or turn < parting as common,
+            '{preferences.OPEN}' || replace(coalesce(role, 'unknown'), '<|', '< |') || chr(10) as head,
+            replace(coalesce(text, ''), '<|', '< |') || '{close}' || chr(10) as body
+        from pairs p left join parting using (conv_id)
+    ), measured as (
+        select *, sum(length(head) + length(body)) over (partition by conv_id, side, common, turn // {preferences.SEGMENT_TURNS}
+            order by turn) as stop from said
+    ), spanned as (
+        select *, (stop - length(body))::varchar || '-' || stop::varchar as span from measured
+    )
+    select conv_id as pair_id, turn // {preferences.SEGMENT_TURNS} as segment,
+        count(*) filter (common and side = 'chosen') as n_prompt_turns,
+        coalesce(string_agg(head || body, '' order by turn) filter (common and side = 'chosen'), '') as prompt,
+        {side("chosen")}, {side("rejected")}
+    from spanned group by conv_id, turn // {preferences.SEGMENT_TURNS}
+    """
+
+
+@query("op6_preference_pairs", _preferences_sql())
+def _preferences(table):
+    pairs = preferences.format_preferences(*preferences.answers_swapped(table("conversations")))
+
+    def mask(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    return pairs.select("pair_id", "segment", "n_prompt_turns", "prompt", "chosen", mask("chosen_spans").alias("chosen_mask"),
+                        "rejected", mask("rejected_spans").alias("rejected_mask"))
+
+
 @query("op7_cost_balanced_packing")
 def _packing(table):
     return packing.pack(table("documents"), tokenizer_path("byte_bpe_50k.json"))
