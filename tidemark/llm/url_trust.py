@@ -68,7 +68,8 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, iter
     """
     ways = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n"))
-    total = ways.groupBy("kind", "host").agg(F.sum("n").alias("total"))
+    # Written first: a join of two new shuffles splits a host with very many links.
+    total = staged(ways.groupBy("kind", "host").agg(F.sum("n").alias("total")), "host-totals")
     ways = staged(ways.join(total, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("share")),
                   "host-links")
     base = staged(seeds.select("kind", "host", F.lit(1.0 - damping).alias("score")), "host-seeds")

@@ -219,8 +219,9 @@ def page_captures(captures: DataFrame) -> DataFrame:
         F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("read_digest")), "captures")
     responses = rows.filter("record_type = 'response'")
-    originals = responses.groupBy("read_digest").agg(
-        F.max("page_id").alias("refers_to"), F.max("payload_bytes").alias("full_bytes"))
+    # Written first: a join of two new shuffles splits a payload with very many revisits.
+    originals = staged(responses.groupBy("read_digest").agg(
+        F.max("page_id").alias("refers_to"), F.max("payload_bytes").alias("full_bytes")), "originals")
     revisits = rows.filter("record_type = 'revisit'").join(
         originals.withColumnRenamed("read_digest", "digest"), F.col("payload_digest") == F.col("digest"), "left")
     return responses.select("page_id", "payload_bytes", F.col("read_digest").alias("payload_digest"), "record_type",
