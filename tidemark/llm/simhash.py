@@ -106,23 +106,25 @@ def _shared_bytes(a, b):
 
 def links(entries: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     """Pairs (a, b) that connect all fingerprints within four bits; ``entries`` has distinct ``fp``."""
-    index = _exploded(entries, _masks(), "mask").select("fp", "place", F.col("fp").bitwiseAND(F.col("mask")).alias("shared"))
-    lists = staged(index.groupBy("place", "shared").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-                   .filter("n >= 2"), "simhash-lists")
-    pair = lists.filter("n = 2").select("a", "b")
-
-    listed = index.join(lists.filter(f"n > 2 and n <= {max_list}").select("place", "shared"), ["place", "shared"], "left_semi")
-    met = listed.groupBy("place", "shared").agg(F.collect_list("fp").alias("all"))  # at most max_list each
-    met = met.select("all", F.explode("all").alias("a"))
-    met = met.select("a", F.explode(F.filter("all", lambda b: (b > F.col("a")) & (
+    # The entries are few bytes but become 70 rows each, so they are dealt to all tasks first.
+    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = _exploded(entries.repartition(parts, "fp"), _masks(), "mask").select(
+        "fp", "place", F.col("fp").bitwiseAND(F.col("mask")).alias("shared"))
+    long = staged(index.groupBy("place", "shared").count().filter(F.col("count") > max_list).select("place", "shared"),
+                  "simhash-long-lists")
+    crowded = staged(index.join(long, ["place", "shared"], "left_semi").select("fp").distinct(), "simhash-crowded")
+
+    short = index.join(long, ["place", "shared"], "left_anti").repartition(parts, "place", "shared")
+    met = short.groupBy("place", "shared").agg(F.collect_list("fp").alias("all"))  # at most max_list each
+    met = met.filter(F.size("all") > 1).select("all", F.explode("all").alias("a"))
+    # Shared bytes are tallied before bits are compared.
+    verified = met.select("a", F.explode(F.filter("all", lambda b: (b > F.col("a")) & (
+        _shared_bytes(F.col("a"), b) >= POSITIONS - MAX_BITS) & (
         F.bit_count(b.bitwiseXOR(F.col("a"))) <= MAX_BITS))).alias("b"))
-    candidates = pair.unionByName(met).filter(_shared_bytes(F.col("a"), F.col("b")) >= POSITIONS - MAX_BITS)
-    verified = candidates.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
 
-    crowded = staged(index.join(lists.filter(f"n > {max_list}").select("place", "shared"), ["place", "shared"], "left_semi")
-                     .select("fp").distinct(), "simhash-crowded")
-    spread = _exploded(crowded, _near_points(), "flip").select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
-    first = spread.groupBy("point").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1").select("point", "a")
+    spread = _exploded(crowded.repartition(parts, "fp"), _near_points(), "flip").select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
+    first = staged(spread.groupBy("point").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1")
+                   .select("point", "a"), "simhash-points")
     starred = spread.join(first, "point").filter("fp <> a").select("a", F.col("fp").alias("b"))
     return verified.unionByName(starred).distinct()
 
@@ -138,12 +140,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null and is no component's id unless there is no other (then null).
     """
     marked = staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    first = marked.groupBy("fp").agg(F.min("id").alias("first"))
+    first = staged(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-entries")
     found = staged(links(first.select("fp")), "simhash-links")
     group = connected(found, "a", "b").withColumnRenamed("node", "fp")
     named = first.join(group, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("group"))
     named = staged(named, "simhash-groups")
-    smallest = named.groupBy("group").agg(F.min("first").alias("component_id"))
+    smallest = staged(named.groupBy("group").agg(F.min("first").alias("component_id")), "simhash-smallest")
     labels = staged(named.join(smallest, "group").select("fp", "component_id"), "simhash-labels")
     return marked.join(labels, "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
