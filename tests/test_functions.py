@@ -135,3 +135,15 @@ def test_route_keeps_every_record_once(spark):
     ok, failed = clickstream.route_records(df)
     assert [r[0] for r in ok.collect()] == ["a"] and [r[0] for r in failed.collect()] == ["b"]
     assert len(CLICKSTREAM_EVENT.names) == 10
+
+
+@pytest.mark.parametrize("text, valid", [
+    ('{"id":"1"}\n', True), ('\t{"id":"1"}\t\r\n ', True), ('{"id":"1"}{"id":"2"}', False), ('{"id":"1"},{"id":"2"}', False),
+    ('{"id":"1"} x', False), ('[{"id":"1"}]', False), ('"{}"', False), ("", False), ("null", False), ('{"id":"1"', False),
+    ('{"id":"1"}]', False)])
+def test_an_envelope_holds_one_object(spark, text, valid):
+    from tidemark.schemas import columns
+    from tidemark.sources.envelope import parse_envelope
+
+    df = spark.createDataFrame([(text,)], "text string").select(F.base64(F.col("text").cast("binary")).alias("data"))
+    assert parse_envelope(df, columns("id string")).first()["valid"] is valid

@@ -32,6 +32,20 @@ def json_object_fields(text: Column) -> Column:
     return F.from_json(text, "map<string,string>", JSON_OPTIONS)
 
 
+def is_json_object(text: Column) -> Column:
+    """Whether the text is one JSON object and nothing else but white space.
+
+    Readers of JSON stop after the first value, so the text is put inside a
+    list and inside an object: what follows the value breaks one or the other,
+    as no text goes on well after both, or makes the list longer than one.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    nested = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    fields = F.try_variant_get(listed, "$[0]", "map<string,variant>")
+    return F.coalesce(
+        fields.isNotNull() & nested.isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull(), F.lit(False))
+
+
 def csv_line(*cols) -> Column:
     """One CSV line with every field in quotes, ending in a line feed."""
     return F.concat(F.to_csv(F.struct(*cols), CSV_LINE_OPTIONS), F.lit("\n"))

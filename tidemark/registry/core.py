@@ -19,7 +19,10 @@ WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A supplied table; shuffles are sized for the largest one that is read."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    size_shuffles(spark, rows)
+    return rows
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -45,7 +48,6 @@ def query(name: str, sql: str | None = None):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            size_shuffles(spark, table(spark, sf_dir, "lineitem"))
             return portable(fn(spark, sf_dir))
 
         if name in QUERIES:

@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     # where the rows after the join are still grouped by that key.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A field that is given twice has its last value, as in other JSON readers.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Window state can outgrow the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -25,8 +27,11 @@ RUNTIME_SETTINGS = {
 }
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-# Beyond this the blocks of a shuffle cost more than larger partitions do.
-MAX_SHUFFLE_PARTITIONS = 32768
+# Session setting: beyond this many partitions the blocks of a shuffle cost
+# more than larger partitions do. The default holds the target size up to 25 TB
+# per shuffle; raise it for more.
+MAX_SHUFFLE_PARTITIONS = "spark.tidemark.maxShufflePartitions"
+DEFAULT_MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -71,7 +76,7 @@ def size_shuffles(spark: SparkSession, *frames: DataFrame) -> int:
     """
     have = int(spark.conf.get("spark.sql.shuffle.partitions"))
     want = -(-sum(estimated_bytes(f) for f in frames) // TARGET_PARTITION_BYTES)
-    want = min(want, MAX_SHUFFLE_PARTITIONS)
+    want = min(want, int(spark.conf.get(MAX_SHUFFLE_PARTITIONS, str(DEFAULT_MAX_SHUFFLE_PARTITIONS))))
     if want > have:
         spark.conf.set("spark.sql.shuffle.partitions", str(want))
     return max(have, want)

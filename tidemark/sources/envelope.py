@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.encoding import JSON_OPTIONS, decode_text, json_object_fields
+from ..functions.encoding import JSON_OPTIONS, decode_text, is_json_object, json_object_fields
 
 REJECTED = "__rejected"
 
@@ -24,9 +24,7 @@ def parse_envelope(
     wide = StructType([*schema, StructField(REJECTED, StringType())])
     payload = F.from_json(text, wide, JSON_OPTIONS | {"columnNameOfCorruptRecord": REJECTED})
     parsed = df.withColumn("payload", payload)
-    valid: Column = (
-        F.col("payload").isNotNull() & F.col(f"payload.{REJECTED}").isNull() & F.rtrim(text).endswith("}")
-    )
+    valid: Column = F.col("payload").isNotNull() & F.col(f"payload.{REJECTED}").isNull() & is_json_object(text)
     for name in not_null:
         # The text is looked at again only where the field has no value.
         unnamed = F.when(
