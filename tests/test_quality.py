@@ -112,3 +112,18 @@ def test_inputs_present_wants_a_file_that_is_not_empty(spark, tmp_path):
 def test_columns_a_frame_lacks(spark):
     assert quality.check_columns(spark.createDataFrame([(1,)], "a int"), ["b", "a", "c"]) == ["b", "c"]
     assert rows(quality.valid_counts(spark.createDataFrame([("d", True), ("d", False)], "dataset string, valid boolean"))) == [("d", 1)]
+
+
+def test_commas_inside_a_cell_do_not_widen_the_check(spark, tmp_path):
+    import time
+
+    (tmp_path / "a.csv").write_text('id,body\n1,"' + "," * 25_000 + '"\n2,x\n')
+    began = time.time()
+    (row,) = quality.check_format(spark, "d", str(tmp_path), {"id": "int", "body": "text"}).collect()
+    assert row["valid"] and time.time() - began < 60
+
+
+def test_checks_read_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,body\n1,"two\nlines"\n2,x\n')
+    (row,) = quality.check_format(spark, "d", str(tmp_path), {"id": "int"}, multi_line=True).collect()
+    assert row["valid"]

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import storage
 from ..functions.times import strip_utc
-from ..sources.files import CSV_OPTIONS, file_listing
+from ..sources.files import csv_options, file_listing
 from .staging import staged
 
 FILE = "file"
@@ -26,16 +26,22 @@ def check_columns(df: DataFrame, required: list[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-def _cells(spark: SparkSession, path: str) -> DataFrame:
-    """Every line of every CSV file under a path as an array of texts."""
+def _cells(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every record of every CSV file under a path as an array of texts.
+
+    There are as many cells as the widest header line has; what a record has
+    beyond its header belongs to no column.
+    """
     options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
-    commas = spark.read.options(**options).text(path).filter(F.col("_metadata.file_block_start") == 0).select(
-        F.size(F.split("value", ",")).alias("n")
+    heads = (
+        spark.read.options(**options).text(path).filter(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias("at"), "value")
+        .filter("value <> ''").groupBy(FILE).agg(F.min_by("value", "at").alias("line"))
     )
-    # One number: no line at the head of a file has more fields than that.
-    width = commas.agg(F.max("n")).first()[0] or 1
+    # One number; quoted commas in a header only make it larger.
+    width = heads.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(width)])
-    return spark.read.schema(schema).options(**CSV_OPTIONS | options | {"header": "false"}).csv(path).select(
+    return spark.read.schema(schema).options(**csv_options(multi_line) | options | {"header": "false"}).csv(path).select(
         F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"), F.array(*schema.names).alias("cells"),
     )
@@ -68,12 +74,13 @@ def _fits(value: Column, kind: str, strict: bool) -> Column:
 
 
 def check_format(
-    spark: SparkSession, dataset: str, path: str, contract: dict[str, str], strict: bool = False
+    spark: SparkSession, dataset: str, path: str, contract: dict[str, str], strict: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Report of every file under the path: missing columns, no rows, or the first
     column with values of the wrong kind. ``strict`` also rejects unreadable
-    timestamps."""
-    cells = _cells(spark, path)
+    timestamps. ``multi_line`` is for files whose quoted texts hold line breaks."""
+    cells = _cells(spark, path, multi_line)
     lines = cells.join(_headers(cells), FILE)
 
     def value_of(name: str) -> Column:

@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..operators.tables import KeyedTable, with_date
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, multi_line: bool = False) -> None:
+    """CSV with a header line. A text with a line break fails the job unless
+    ``multi_line`` says that its readers expect them."""
+    def one_line(name: str):
+        text = F.col(f"`{name}`")
+        said = F.raise_error(F.lit(f"{name} holds a line break; write and read it with multi_line"))
+        return F.when(text.rlike("[\r\n]"), said).otherwise(text).alias(name)
+
+    if not multi_line:
+        df = df.select(*[one_line(f.name) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`") for f in df.schema])
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_extract(df: DataFrame, path: str) -> bool:
+def write_extract(df: DataFrame, path: str, multi_line: bool = False) -> bool:
     """CSV export of an extract; an empty extract leaves the path as it is."""
     if df.isEmpty():
         return False
-    write_csv(df, path)
+    write_csv(df, path, multi_line)
     return True
 
 
@@ -32,10 +42,11 @@ def create_table(table: KeyedTable, df: DataFrame, ts_col: str | None = None, da
 
 
 def write_json(df: DataFrame, path: str, run_id: str, key: str) -> str:
-    """One JSON object per key, under a folder named after the run."""
+    """One JSON object per key, under a folder named after the run. A run that
+    is repeated writes its folder again."""
     target = f"{path.rstrip('/')}/aggregated_results_{run_id}"
     values = F.struct(*[c for c in df.columns if c != key])
     df.select(F.create_map(F.col(key), values).alias("v")).select(
         F.to_json("v").alias("value")
-    ).write.text(target)
+    ).write.mode("overwrite").text(target)
     return target

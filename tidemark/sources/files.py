@@ -4,26 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.tables import KeyedTable
+from ..schemas import columns
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """CSV with a header line; a file, a folder, a glob or a list of them."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+def csv_options(multi_line: bool = False) -> dict[str, str]:
+    """Reader settings. With ``multi_line`` quoted texts may hold line breaks;
+    a file is then one task, so datasets of free text come as many files."""
+    return CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
 
 
-def read_many(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: StructType | str, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header line; a file, a folder, a glob or a list of them.
+
+    Columns are taken by their names in the header; those the schema does not
+    name are left out, one that is missing is an error. All files must have
+    the header of the first, or the job fails (``read_many`` takes files whose
+    headers differ).
+    """
+    schema = columns(schema) if isinstance(schema, str) else schema
+    options = csv_options(multi_line)
+    header = spark.read.options(**options).csv(path).columns
+    if not header:  # no file has a line
+        return spark.createDataFrame([], schema)
+    missing = [name for name in schema.names if name not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    layout = StructType([schema[name] if name in schema.names else StructField(name, StringType()) for name in header])
+    found = spark.read.schema(layout).options(**options, enforceSchema="false").csv(path)
+    return found.select(*[f"`{name}`" for name in schema.names])
+
+
+def read_many(spark: SparkSession, paths: list[str], schema: StructType, multi_line: bool = False) -> DataFrame:
     """One dataset from several places whose headers may differ.
 
     Columns are taken by name; a place that lacks one gives nulls.
     """
     parts = []
     for path in paths:
-        raw = spark.read.options(**CSV_OPTIONS).csv(path)
+        raw = spark.read.options(**csv_options(multi_line)).csv(path)
         parts.append(raw.select(*[
             (F.col(f.name) if f.name in raw.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
             for f in schema
@@ -64,9 +89,11 @@ def latest_snapshot(spark: SparkSession, path: str) -> str:
     return newest["folder"]
 
 
-def read_latest_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_latest_snapshot(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+) -> DataFrame:
     """Every part of the newest snapshot under a path."""
-    return read_csv(spark, latest_snapshot(spark, path), schema)
+    return read_csv(spark, latest_snapshot(spark, path), schema, multi_line)
 
 
 def read_keyed(table: KeyedTable) -> DataFrame:
