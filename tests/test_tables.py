@@ -243,3 +243,45 @@ def test_run_merge_and_staging_leave_no_table_behind(spark, tmp_path):
     tables.run_merge(held, lambda: spark.createDataFrame([(1, "y"), (2, "z")], "k int, v string"), ["k"])
     assert rows(held.read()) == [(1, "y"), (2, "z")]
     assert sorted(e.name for e in storage.listing(spark, held.root)) == ["data", "published"]
+
+
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,extra,a\n1,x,2\n")
+    assert rows(files.read_csv(spark, str(tmp_path / "a.csv"), "a int, b int")) == [(2, 1)]
+    with pytest.raises(ValueError, match="lacks the columns c"):
+        files.read_csv(spark, str(tmp_path / "a.csv"), "a int, c int")
+    (tmp_path / "b.csv").write_text("a,extra,b\n1,x,2\n")
+    with pytest.raises(Exception):  # headers differ between the files
+        files.read_csv(spark, str(tmp_path / "*.csv"), "a int, b int").collect()
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "c.csv").write_text("")
+    assert files.read_csv(spark, str(tmp_path / "none"), "a int").count() == 0
+
+
+def test_line_breaks_in_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'two\nlines, "quoted"'), (2, None), (3, "one")], "id int, body string")
+    sinks.write_csv(df, str(tmp_path / "out"), multi_line=True)
+    assert rows(files.read_csv(spark, str(tmp_path / "out"), df.schema, multi_line=True)) == rows(df)
+    with pytest.raises(Exception, match="line break"):
+        sinks.write_csv(df, str(tmp_path / "other"))
+
+
+def test_parallel_writers_all_land(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    table = KeyedTable(spark, str(tmp_path / "t")).create(spark.createDataFrame([], "k int, v string"))
+    frames = [spark.createDataFrame([(10 * w + i, f"w{w}") for i in range(3)], "k int, v string") for w in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda df: table.upsert(df, ["k"]), frames))
+    assert sorted(r["k"] for r in table.read().collect()) == sorted(10 * w + i for w in range(4) for i in range(3))
+    assert table.version() == 5
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t")).create(spark.createDataFrame([(0, "a")], "k int, v string"))
+    for i in range(1, 5):
+        table.upsert(spark.createDataFrame([(i, "a")], "k int, v string"), ["k"])
+    table.retain(2)
+    assert len(list((tmp_path / "t" / "published").glob("*.json"))) == 2
+    assert len(list((tmp_path / "t" / "data").glob("commit=*"))) == 2
+    assert table.read().count() == 5 and table.read(version=4).count() == 4

@@ -2,9 +2,11 @@
 
 Data of a version lies in a folder of its own, ``data/commit=...``;
 ``published/N.json`` names the folders that make up version N and is written
-last. Readers of an older version are not disturbed, a failed job publishes
-nothing, and of two jobs that publish the same version one fails. A table may be partitioned by one
-date column; an upsert then rewrites the dates it touches and no others.
+last. Readers of an older version are not disturbed and a failed job publishes
+nothing. Of several writers of a version one wins; the others merge again into
+what it published. A table may be partitioned by one date column; an upsert
+then rewrites the dates it touches and no others. ``retain`` removes versions
+that are no longer read.
 """
 
 from __future__ import annotations
@@ -19,9 +21,11 @@ from pyspark.sql.types import DateType, StructType
 
 from .. import storage
 from .merge import merge_all, one_row_per_key
+from .staging import staged
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 COMMIT = "commit"
+ATTEMPTS = 20
 
 
 class KeyedTable:
@@ -37,8 +41,8 @@ class KeyedTable:
     def exists(self) -> bool:
         return self.version() > 0
 
-    def _published(self) -> dict:
-        version = self.version()
+    def _published(self, version: int | None = None) -> dict:
+        version = version or self.version()
         if not version:
             raise FileNotFoundError(f"no published table at {self.root}")
         return json.loads(storage.read_text(self.spark, f"{self.root}/published/{version:010d}.json"))
@@ -47,10 +51,14 @@ class KeyedTable:
         """Highest micro-batch of a feed that is part of the table; -1 if none."""
         return self._published()["batches"].get(feed, -1) if self.exists() else -1
 
+    def merged_into(self, feed: str) -> int:
+        """Version that the last batch of a feed was merged into."""
+        return self._published().get("into", {}).get(feed, self.version())
+
     # -- read -----------------------------------------------------------
-    def read(self, dates: list | None = None) -> DataFrame:
-        """The table, or only the given partition dates of it."""
-        state = self._published()
+    def read(self, dates: list | None = None, version: int | None = None) -> DataFrame:
+        """The table, or only the given partition dates of it; the newest version unless one is named."""
+        state = self._published(version)
         schema = StructType.fromJson(state["schema"])
         slices = state["slices"]
         if dates is not None:
@@ -91,15 +99,23 @@ class KeyedTable:
         return self
 
     def replace(
-        self, df: DataFrame, dates: list | None = None, feed: str | None = None, batch: int | None = None
+        self, df: DataFrame, dates: list | None = None, feed: str | None = None, batch: int | None = None,
+        over: int | None = None,
     ) -> "KeyedTable":
-        """Publish new contents for the given dates, or for the whole table."""
-        version, state = self.version() + 1, self._published()
+        """Publish new contents for the given dates, or for the whole table.
+
+        ``over`` is the version the contents were made from; the call fails if
+        another has been published since.
+        """
+        over = over or self.version()
+        version, state = over + 1, self._published(over)
         written = self._write(df.select(*StructType.fromJson(state["schema"]).names), state["partition_by"], version)
         gone = set(state["slices"]) if dates is None else {_folder(state["partition_by"], d) for d in dates}
         state["slices"] = {n: c for n, c in state["slices"].items() if n not in gone} | written
         if feed is not None:
-            state["batches"][feed] = batch
+            state.setdefault("into", {})[feed] = over
+            if batch is not None:
+                state["batches"][feed] = batch
         self._publish(version, state)
         return self
 
@@ -111,20 +127,54 @@ class KeyedTable:
 
         Touched dates are those of the source and those in which the table
         holds one of the source's keys, so a row may move between dates. A
-        source without dates can only change rows the table holds.
+        source without dates can only change rows the table holds. The source
+        is computed once; if another writer publishes first, it is merged into
+        the new version.
         """
         if feed is not None and batch is not None and batch <= self.last_batch(feed):
             return self
-        partition_by = self._published()["partition_by"]
-        dates = None
-        if partition_by:
-            held = self.read().select(*keys, partition_by).join(source.select(*keys), keys, "left_semi")
-            touched = held.select(partition_by)
-            if partition_by in source.columns:
-                touched = touched.union(source.select(partition_by))
-            # One value per partition folder: bounded by the table's layout.
-            dates = [row[0] for row in touched.distinct().collect()]
-        return self.replace(merge(self.read(dates), source, keys, **options), dates, feed, batch)
+        source = staged(source, "upsert")
+        for _ in range(ATTEMPTS):
+            version = self.version()
+            dates = self.touched_dates(source, keys, version)
+            merged = merge(self.read(dates, version), source, keys, **options)
+            try:
+                return self.replace(merged, dates, feed, batch, version)
+            except FileExistsError:
+                if feed is not None and batch is not None and batch <= self.last_batch(feed):
+                    return self
+        raise FileExistsError(f"{self.root}: other writers published first {ATTEMPTS} times")
+
+    def touched_dates(self, source: DataFrame, keys: list[str], version: int | None = None) -> list | None:
+        """Partition dates that an upsert of the source rewrites; None without partitions."""
+        partition_by = self._published(version)["partition_by"]
+        if not partition_by:
+            return None
+        held = self.read(version=version).select(*keys, partition_by).join(source.select(*keys), keys, "left_semi")
+        touched = held.select(partition_by)
+        if partition_by in source.columns:
+            touched = touched.union(source.select(partition_by))
+        # One value per partition folder: bounded by the table's layout.
+        return [row[0] for row in touched.distinct().collect()]
+
+    def retain(self, versions: int) -> None:
+        """Remove all but the newest versions, and the data that only they name.
+
+        Data of versions that are being written stays. Readers of a removed
+        version fail, so keep as many as the longest job needs.
+        """
+        entries = sorted(storage.listing(self.spark, f"{self.root}/published"), key=lambda e: e.name)
+        kept, gone = entries[-versions:], entries[:-versions]
+        if versions < 1 or not gone:
+            return
+        used = {c for e in kept for c in json.loads(storage.read_text(self.spark, e.path))["slices"].values()}
+        newest_gone = int(gone[-1].name[:-5])
+        for entry in gone:
+            storage.delete(self.spark, entry.path)
+        for folder in storage.listing(self.spark, f"{self.root}/data"):
+            commit = folder.name.partition("=")[2]
+            if commit not in used and int(commit.partition("-")[0]) <= newest_gone:
+                storage.delete(self.spark, folder.path)
 
 
 def _folder(partition_by: str, date) -> str:

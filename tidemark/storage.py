@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -48,20 +50,36 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+# Writers of one driver take turns; between drivers the file system decides.
+_PUBLISHING = threading.Lock()
+
+
 def write_text_once(spark: SparkSession, path: str, text: str) -> None:
-    """Write a file in full or not at all; fail if the path is taken."""
+    """Write a file in full or not at all; fail if the path is taken.
+
+    Every writer has a draft of its own, which is renamed to the path. Of
+    several drivers one wins where a rename never replaces a file (HDFS).
+    """
     fs, where = _open(spark, path)
     if fs.exists(where):
         raise FileExistsError(path)
     fs.mkdirs(where.getParent())
-    _, draft = _open(spark, f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}.draft")
+    _, draft = _open(spark, f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}.{uuid.uuid4().hex}.draft")
     stream = fs.create(draft, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    if not fs.rename(draft, where):
-        raise FileExistsError(path)
+    with _PUBLISHING:
+        if fs.exists(where) or not fs.rename(draft, where):
+            fs.delete(draft, False)
+            raise FileExistsError(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds."""
+    fs, where = _open(spark, path)
+    fs.delete(where, True)
 
 
 def move_file(spark: SparkSession, path: str, folder: str) -> str:
