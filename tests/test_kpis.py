@@ -202,15 +202,25 @@ def test_daily_fares_count_missing_fares_as_zero(spark):
     assert rows(trips.daily_fares(df)) == [("2024-01-01", 5.0, 2, 5.0, 0.0, 2.5), ("2024-01-02", -1.0, 1, -1.0, -1.0, -1.0)]
 
 
-def test_discount_per_event_and_not_per_history_row(spark):
+def test_discount_per_event(spark):
     events = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("d",), (None,)], "user_id string")
     history = spark.createDataFrame(
-        [("a", 101.0), ("a", 200.0), ("b", 100.99), ("c", 100.0), (None, 500.0)],
-        "user_id string, total_amount_spent double",
+        [("a", 101.0), ("b", 100.99), ("c", 100.0), (None, 500.0)], "user_id string, total_amount_spent double",
     )
     assert rows(discounts.user_discounts(events, history)) == [("a", 30), ("a", 30)]
 
 
+def test_users_listed_twice_need_an_order(spark):
+    events = spark.createDataFrame([("a",), ("b",)], "user_id string")
+    history = spark.createDataFrame(
+        [("a", 150.0, 1), ("a", 50.0, 2), ("b", 50.0, 1), ("b", 150.0, 2)],
+        "user_id string, total_amount_spent double, row int",
+    )
+    assert rows(discounts.user_discounts(events, history, order_by="row")) == [("b", 30)]
+    with pytest.raises(Exception, match="several spending rows"):
+        discounts.user_discounts(events, history).collect()
+
+
 def test_track_report_patch_keeps_other_attributes(spark):
     best = spark.createDataFrame(
         [(date(2024, 1, 1), "t1", "one", "a", g, 4, 2, 10, 2.5) for g in ("pop", "rock")],

@@ -191,7 +191,7 @@ def test_trip_starts_and_ends(spark, tmp_path):
         (2, {"trip_id": "late", "fare_amount": 5}), (3, {"trip_id": "late", "tip_amount": 1, "fare_amount": 6}),
         (4, {"trip_id": "unknown", "fare_amount": 5}), (5, {"trip_id": "text", "fare_amount": None}),
     ), 0)
-    out = held.read().drop("pickup_date")
+    out = held.read().drop("pickup_date", "attributes")
     d = Decimal
     assert rows(out) == [
         ("abc123", "2024-01-01 10:00:00", d("10.00"), d("100.00"), d("20.00"), d("120.00")),
@@ -200,7 +200,57 @@ def test_trip_starts_and_ends(spark, tmp_path):
     ]
     # A batch that is run again after a failure changes nothing.
     trips.apply_end_records(held, records(spark, (9, {"trip_id": "text", "fare_amount": 1})), 0)
-    assert rows(held.read().drop("pickup_date")) == rows(out)
+    assert rows(held.read().drop("pickup_date", "attributes")) == rows(out)
+
+
+def test_trips_keep_every_attribute(spark, tmp_path):
+    held = trips.create_trip_table(KeyedTable(spark, str(tmp_path / "trips")))
+    trips.apply_start_records(held, records(spark, (1, start("a") | {"vendor": "v", "zone": {"x": 1}}), (2, start("b"))))
+    trips.apply_end_records(held, records(
+        spark, (1, {"trip_id": "a", "zone": "w", "paid": "cash"}), (2, {"trip_id": "a", "paid": "card", "fare_amount": 2})))
+    got = {r["trip_id"]: ({a["key"]: a["value"] for a in r["attributes"]}, r["fare_amount"]) for r in held.read().collect()}
+    assert got == {"a": ({"vendor": "v", "zone": "w", "paid": "card"}, Decimal("2.00")), "b": ({}, None)}
+
+
+def test_records_not_applied_are_put_aside_and_replayed(spark, tmp_path):
+    held = trips.create_trip_table(KeyedTable(spark, str(tmp_path / "trips")))
+    aside, report = str(tmp_path / "aside"), str(tmp_path / "report")
+    trips.apply_start_records(held, records(spark, (1, start("a")), (2, "no json")), 0, aside=aside)
+    ends = records(spark, (1, {"trip_id": "a", "fare_amount": 3}), (2, {"trip_id": "b", "fare_amount": 4}), (3, "[]"))
+    for _ in range(2):  # a batch that is run again writes the same folders again
+        trips.apply_end_records(held, ends, 0, report, aside)
+    got = sorted((r["feed"], r["reason"], r["sequence"]) for r in trips.read_put_aside(spark, aside).collect())
+    assert got == [("ends", "failed", "3"), ("ends", "skipped", "2"), ("starts", "failed", "2")]
+    trips.apply_start_records(held, records(spark, (3, start("b"))), 1, aside=aside)
+    trips.replay_skipped(held, aside, report)
+    assert {r["trip_id"]: float(r["fare_amount"]) for r in held.read().collect()} == {"a": 3.0, "b": 4.0}
+    (fares,) = trips.latest_fares(spark, report).collect()
+    assert (float(fares["v"]["total_fare"]), fares["v"]["count_trips"]) == (7.0, 2)
+
+
+def test_a_report_needs_no_batch_number(spark, tmp_path):
+    held = trips.create_trip_table(KeyedTable(spark, str(tmp_path / "trips")))
+    trips.apply_start_records(held, records(spark, (1, start("a")), (2, start("b", "2024-02-01 00:00:00"))))
+    for fare in (1, 2):
+        trips.apply_end_records(held, records(spark, (1, {"trip_id": "a", "fare_amount": fare})), report_path=str(tmp_path / "r"))
+    # Only the date that the batch touched is reported.
+    (fares,) = trips.latest_fares(spark, str(tmp_path / "r")).collect()
+    assert (fares["date"], float(fares["v"]["total_fare"])) == ("2024-01-01", 2.0)
+
+
+def test_both_trip_streams_at_once(spark, tmp_path):
+    held = trips.create_trip_table(KeyedTable(spark, str(tmp_path / "trips")))
+    aside = str(tmp_path / "aside")
+    runs = []
+    for kind, payloads in (("starts", [start(f"t{i}") for i in range(6)]),
+                           ("ends", [{"trip_id": f"t{i}", "fare_amount": i} for i in range(6)])):
+        for i, payload in enumerate(payloads):
+            records(spark, (i, payload)).coalesce(1).write.mode("append").parquet(str(tmp_path / kind))
+        stream = spark.readStream.schema("sequence long, data string").option("maxFilesPerTrigger", 2).parquet(str(tmp_path / kind))
+        runs.append(trips.start_lifecycle(stream, held, str(tmp_path / f"{kind}-c"), kind, UNTIL_CAUGHT_UP, aside=aside))
+    await_all(spark, runs)
+    trips.replay_skipped(held, aside)
+    assert {r["trip_id"]: float(r["fare_amount"]) for r in held.read().collect()} == {f"t{i}": float(i) for i in range(6)}
 
 
 def test_failed_trip_records_stay_as_received(spark):
@@ -226,10 +276,9 @@ def test_trip_lifecycle_over_several_runs(spark, tmp_path):
     feed("starts", (2, start("b")))
     feed("ends", (3, {"trip_id": "b", "fare_amount": 4}))
     assert {r["trip_id"]: float(r["fare_amount"]) for r in held.read().collect()} == {"a": 3.0, "b": 4.0}
-    results = sorted(e.name for e in storage.listing(spark, str(tmp_path / "report")))
-    assert len(results) == 2
-    (last,) = spark.read.text(str(tmp_path / "report" / results[-1])).collect()
-    assert json.loads(last[0])["2024-01-01"]["total_fare"] == 7.0
+    assert len(storage.listing(spark, str(tmp_path / "report"))) == 2
+    (last,) = trips.latest_fares(spark, str(tmp_path / "report")).collect()
+    assert (last["date"], float(last["v"]["total_fare"])) == ("2024-01-01", 7.0)
 
 
 def test_stream_of_pairs_and_ends_without_a_start(spark, tmp_path):
@@ -282,12 +331,23 @@ def test_new_files_are_taken_once_and_archived(spark, tmp_path):
         ingest_new_files(spark, str(source), str(source / "done"), "c", columns("v int"), print)
 
 
-def test_outcomes_are_counted_as_the_batch_runs_by(spark):
-    from pyspark.sql import Observation
-
+def test_outcomes_of_more_than_a_hundred_batches(spark, tmp_path):
     from tidemark.sources.envelope import parse_envelope
 
-    parsed = parse_envelope(records(spark, (1, start("a")), (2, "x"), (3, "y")), columns("trip_id string"))
-    seen = Observation("outcomes")
-    parsed.observe(seen, F.count_if("valid").alias("processed"), F.count_if(~F.col("valid")).alias("errors")).collect()
-    assert seen.get == {"processed": 1, "errors": 2}
+    n = 115
+    records(spark, *[(i, start("a") if i % 5 else "x") for i in range(n)]).repartition(n, "sequence").write.option(
+        "maxRecordsPerFile", 1).parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("sequence long, data string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    parsed = parse_envelope(stream, columns("trip_id string"))
+    await_all(spark, [trips.start_outcome_counts(parsed, str(tmp_path / "out"), str(tmp_path / "c"), UNTIL_CAUGHT_UP)])
+    assert len(storage.listing(spark, str(tmp_path / "out"))) > 100
+    assert tuple(trips.outcome_counts(spark, str(tmp_path / "out")).first()) == (92, 23)
+    assert tuple(trips.outcome_counts(spark, str(tmp_path / "none")).first()) == (0, 0)
+
+
+def test_batches_pair_trips_of_any_length(spark):
+    starts = spark.createDataFrame([("a", datetime(2020, 1, 1))], "trip_id string, started_at timestamp")
+    ends = spark.createDataFrame([("a", datetime(2024, 1, 1))], "trip_id string, ended_at timestamp")
+    assert trips.correlate_trips(starts, ends).first()["started_at"] == datetime(2020, 1, 1)
+    with pytest.raises(ValueError):
+        trips.correlate_trips(spark.readStream.format("rate").load().selectExpr("value trip_id", "timestamp started_at"), ends)

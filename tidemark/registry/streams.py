@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.encoding import decode_text
+from ..operators.staging import staged
 from ..operators.tables import KeyedTable
 from ..plans import clickstream, discounts
 from ..schemas import MOBILE_LOG, STREAMS, columns
@@ -17,7 +18,7 @@ from ..sources.streams import read_event_stream
 from ..streaming import mobile, music, serve, trips
 from . import bindings as b
 from .core import money, query, ratio, table, ts
-from .kpis import CLICKS, N_PARTS, SPENDING_LIMIT
+from .kpis import CLICKS, LINE, N_PARTS, SPENDING_LIMIT
 
 
 def as_json_stream(df: DataFrame, schema, label: str) -> DataFrame:
@@ -180,14 +181,13 @@ def latest_status_count(spark, sf):
 
 @query("clickstream_stream", f"""{CLICKS}
 select id as "recordId", case when fails then 'ProcessingFailed' else 'Ok' end as result,
-  case when fails then null else is_mobile end as is_mobile from enriched""")
+  case when not fails then {LINE} || chr(10) end as line from enriched""")
 def clickstream_stream(spark, sf):
-    """Enrichment of a stream of records; one output field is shown."""
+    """Enrichment of a stream of records; the CSV line of all fields is shown decoded."""
     records = as_record_stream(b.click_records(spark, sf), "clicks")
     out = caught_up(clickstream.transform_records(records), "clicks")
-    fields = F.from_csv(decode_text(F.col("data")), ", ".join(f"c{i} string" for i in range(12)), {"escape": '"'})
     return out.select(
-        "recordId", "result", F.when(F.col("result") == clickstream.OK, fields["c7"]).alias("is_mobile")
+        "recordId", "result", F.when(F.col("result") == clickstream.OK, decode_text(F.col("data"))).alias("line")
     )
 
 
@@ -221,7 +221,9 @@ def derived_event_emit(spark, sf):
     records = b.enveloped(b.cart_events(spark, sf).withColumn("user_id", F.col("user_id").cast("string")),
                           ["user_id"], ["event_id"])
     events, _failed = decode_envelope(as_record_stream(records, "carts"), columns("user_id string"))
-    history = b.purchase_history(spark, sf).withColumn("user_id", F.col("user_id").cast("string"))
+    history = staged(
+        b.purchase_history(spark, sf).withColumn("user_id", F.col("user_id").cast("string")), "purchase-history"
+    )
     found = discounts.user_discounts(events, history, SPENDING_LIMIT)
     path = scratch_path(spark, "discounts")
     run = emit_events(
@@ -240,30 +242,60 @@ trips as (select * from orders left join ends on k = o_orderkey where o_orderpri
 """
 
 
-def run_trips(spark, sf, report: str | None = None) -> KeyedTable:
+def run_trips(spark, sf, report: str | None = None, aside: str | None = None) -> KeyedTable:
+    """Both streams at once; ends that came before their start are applied when both have caught up."""
+    aside = aside or scratch_path(spark, "trips-aside")
     trip_table = trips.create_trip_table(KeyedTable(spark, scratch_path(spark, "trips")))
     starts = b.enveloped(
-        b.known_trip_starts(spark, sf), ["trip_id", "pickup_datetime", "estimated_fare_amount"], ["sequence"]
+        b.known_trip_starts(spark, sf).withColumn("vendor", F.concat(F.lit("v"), F.col("trip_id"))),
+        ["trip_id", "pickup_datetime", "estimated_fare_amount", "vendor"], ["sequence"],
     )
     ends = b.enveloped(
-        b.trip_ends(spark, sf), ["trip_id", "fare_amount", "tip_amount", "total_amount"], ["sequence"]
+        b.trip_ends(spark, sf).withColumn("payment", F.when(F.col("tip_amount") > 0, "card").otherwise("cash")),
+        ["trip_id", "fare_amount", "tip_amount", "total_amount", "payment"], ["sequence"],
     )
-    for kind, records in (("starts", starts), ("ends", ends)):
-        run = trips.start_lifecycle(
+    await_all(spark, [
+        trips.start_lifecycle(
             as_record_stream(records, kind), trip_table, scratch_path(spark, f"{kind}-checkpoint"), kind,
-            UNTIL_CAUGHT_UP, report, grain="month",
-        )
-        await_all(spark, [run])
+            UNTIL_CAUGHT_UP, report, "month", aside,
+        ) for kind, records in (("starts", starts), ("ends", ends))
+    ])
+    trips.replay_skipped(trip_table, aside, report)
     return trip_table
 
 
 @query("trip_lifecycle", f"""{_TRIPS}
 select cast(o_orderkey as varchar) as trip_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as pickup_datetime,
   cast({money('o_totalprice')} as double) as estimated_fare_amount, cast(fare as double) as fare_amount,
-  cast(tip as double) as tip_amount, cast(fare + tip as double) as total_amount from trips""")
+  cast(tip as double) as tip_amount, cast(fare + tip as double) as total_amount, 'v' || o_orderkey as vendor,
+  case when tip > 0 then 'card' when tip is not null then 'cash' end as payment from trips""")
 def trip_lifecycle(spark, sf):
-    """Starts create trips, ends patch the ones that are known."""
-    return run_trips(spark, sf).read().drop(trips.LAYOUT)
+    """Starts create trips, ends patch the ones that are known; fields of either that are not declared stay."""
+    held = run_trips(spark, sf).read()
+    return held.select(
+        *[c for c in held.columns if c not in (trips.LAYOUT, trips.ATTRIBUTES)],
+        trips.attribute("vendor"), trips.attribute("payment"))
+
+
+@query("trip_records_aside", """
+select 'failed' as reason, cast(o_orderkey as varchar) as sequence from orders where o_orderpriority = '1-URGENT'
+union all
+select distinct 'skipped', cast(l_orderkey as varchar) from lineitem join orders on o_orderkey = l_orderkey
+where o_orderpriority = '1-URGENT'""")
+def trip_records_aside(spark, sf):
+    """Starts of urgent orders are cut short and fail; their ends find no trip."""
+    aside = scratch_path(spark, "aside")
+    held = trips.create_trip_table(KeyedTable(spark, scratch_path(spark, "trips")))
+    starts = b.enveloped(b.trip_starts(spark, sf), ["trip_id", "pickup_datetime", "estimated_fare_amount"], ["sequence"])
+    known = b.known_trip_starts(spark, sf).select("sequence", F.lit(True).alias("known"))
+    broken = starts.join(known, "sequence", "left").select(
+        "sequence", F.when(F.col("known"), F.col("data")).otherwise(F.substring("data", 1, 8)).alias("data"))
+    ends = b.enveloped(b.trip_ends(spark, sf), ["trip_id", "fare_amount", "tip_amount", "total_amount"], ["sequence"])
+    for kind, records in (("starts", broken), ("ends", ends)):
+        await_all(spark, [trips.start_lifecycle(
+            as_record_stream(records, kind), held, scratch_path(spark, f"{kind}-checkpoint"), kind, UNTIL_CAUGHT_UP,
+            grain="month", aside=aside)])
+    return trips.read_put_aside(spark, aside).select("reason", "sequence")
 
 
 @query("skipped_trip_ends", """
@@ -275,10 +307,6 @@ def skipped_trip_ends(spark, sf):
     return skipped_ends(b.known_trip_starts(spark, sf), b.trip_ends(spark, sf)).select("trip_id")
 
 
-FARES = ("map<string, struct<total_fare: decimal(28,2), count_trips: bigint, max_fare: double, "
-         "min_fare: double, average_fare: double>>")
-
-
 @query("daily_fares_report", f"""{_TRIPS}
 select strftime(o_orderdate, '%Y-%m-%d') as date, cast(sum(coalesce(fare, 0)) as double) as total_fare,
   count(*) as count_trips from trips group by 1""")
@@ -286,17 +314,14 @@ def daily_fares_report(spark, sf):
     """JSON result files written by the run over the trips that have ended."""
     folder = scratch_path(spark, "fares")
     run_trips(spark, sf, folder)
-    rows = spark.read.option("recursiveFileLookup", "true").text(folder).select(
-        F.explode(F.from_json("value", FARES)).alias("date", "v")
-    )
-    return rows.select("date", "v.total_fare", "v.count_trips")
+    return trips.latest_fares(spark, folder).select("date", "v.total_fare", "v.count_trips")
 
 
-_PAIRS = """
+def _pairs(bound: str) -> str:
+    return f"""
 with starts as (select o_orderkey k, o_orderdate s from orders),
 ends as (select l_orderkey k, min(l_shipdate) e from lineitem group by 1),
-pairs as (select ends.k, e, starts.s from ends left join starts
-  on starts.k = ends.k and s <= e and e <= s + interval 400 day)
+pairs as (select ends.k, e, starts.s from ends left join starts on starts.k = ends.k and s <= e {bound})
 """
 
 
@@ -310,15 +335,15 @@ def _trip_events(spark, sf):
     return starts, ends
 
 
-@query("trip_correlation", f"""{_PAIRS}
+@query("trip_correlation", f"""{_pairs("")}
 select k as trip_id, {ts('e')} as ended_at, {ts('s')} as started_at from pairs""")
 def trip_correlation(spark, sf):
     """Ends with their start; an end whose start does not fit keeps a null."""
     starts, ends = _trip_events(spark, sf)
-    return trips.correlate_trips(starts, ends, "400 days").select("trip_id", "ended_at", "started_at")
+    return trips.correlate_trips(starts, ends).select("trip_id", "ended_at", "started_at")
 
 
-@query("trip_correlation_stream", f"""{_PAIRS}
+@query("trip_correlation_stream", f"""{_pairs("and e <= s + interval 400 day")}
 select k as trip_id, {ts('e')} as ended_at, {ts('s')} as started_at from pairs where s is not null""")
 def trip_correlation_stream(spark, sf):
     """Two streams joined; the pairs found."""
@@ -338,14 +363,8 @@ def batch_outcome_counts(spark, sf):
     """Processed and failed records, counted by the stream as it runs by."""
     parsed = parse_envelope(as_record_stream(b.click_records(spark, sf), "counted"), columns("id string"))
     path = scratch_path(spark, "counted")
-    run = start_parquet_sink(
-        trips.with_outcome_counts(parsed).select("recordId", "valid"), f"{path}/out", f"{path}/checkpoint",
-        trigger=UNTIL_CAUGHT_UP,
-    )
-    await_all(spark, [run])
-    seen = [p.observedMetrics["outcomes"] for p in run.recentProgress if "outcomes" in p.observedMetrics]
-    rows = [(sum(s["processed"] for s in seen), sum(s["errors"] for s in seen))]
-    return spark.createDataFrame(rows, "processed bigint, errors bigint")
+    await_all(spark, [trips.start_outcome_counts(parsed, f"{path}/out", f"{path}/checkpoint", UNTIL_CAUGHT_UP)])
+    return trips.outcome_counts(spark, f"{path}/out")
 
 
 # -- file lifecycle ------------------------------------------------------------------------

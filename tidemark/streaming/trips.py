@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from .. import storage
+from ..functions.encoding import decode_text, json_object_fields
 from ..functions.numbers import to_money
+from ..operators.staging import staged
 from ..operators.tables import KeyedTable
-from ..plans.trips import END_FIELDS, KEY, apply_ends, apply_starts, daily_fares
+from ..plans.trips import END_FIELDS, KEY, apply_ends, apply_starts, daily_fares, skipped_ends
 from ..schemas import columns
 from ..sinks.files import write_json
 from ..sinks.split import split_ok_failed
@@ -22,7 +27,22 @@ LAYOUT = "pickup_date"
 TRIPS = columns(
     "trip_id string, pickup_datetime string, estimated_fare_amount decimal(18,2), "
     "fare_amount decimal(18,2), tip_amount decimal(18,2), total_amount decimal(18,2), pickup_date date"
-)
+).add("attributes", ArrayType(StructType([StructField("key", StringType()), StructField("value", StringType())])))
+# Fields of a record beyond the declared ones, as text.
+ATTRIBUTES = "attributes"
+FAILED, SKIPPED = "failed", "skipped"
+FARES = ("map<string, struct<total_fare: decimal(28,2), count_trips: bigint, max_fare: double, "
+         "min_fare: double, average_fare: double>>")
+
+
+def _attributes(declared: list[str]) -> Column:
+    fields = json_object_fields(decode_text(F.col("data")))
+    return F.array_sort(F.map_entries(F.map_filter(fields, lambda name, _: ~name.isin(*declared)))).alias(ATTRIBUTES)
+
+
+def attribute(name: str) -> Column:
+    """One of the further fields of a trip; null if it has none of that name."""
+    return F.map_from_entries(ATTRIBUTES)[name].alias(name)
 
 
 def _texts(names: list[str]) -> StructType:
@@ -42,11 +62,12 @@ def _money_fields(parsed: DataFrame, fields: list[str], required: list[str]) ->
 
 
 def decode_starts(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Started trips and failed records; the estimated fare must be a number."""
+    """Started trips and failed records; the estimated fare must be a number.
+    Fields that are not declared are kept as attributes."""
     parsed = parse_envelope(records, _texts(KEY + START_FIELDS))
     good, bad = _money_fields(parsed, ["estimated_fare_amount"], ["estimated_fare_amount"])
     fare = to_money(F.col("payload.estimated_fare_amount")).alias("estimated_fare_amount")
-    return good.select(ORDER, "payload.trip_id", "payload.pickup_datetime", fare), bad
+    return good.select(ORDER, "payload.trip_id", "payload.pickup_datetime", fare, _attributes(KEY + START_FIELDS)), bad
 
 
 def decode_ends(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -54,7 +75,8 @@ def decode_ends(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed = parse_envelope(records, _texts(KEY + END_FIELDS), not_null=END_FIELDS)
     good, bad = _money_fields(parsed, END_FIELDS, [])
     return good.select(
-        ORDER, "payload.trip_id", *[to_money(F.col(f"payload.{n}")).alias(n) for n in END_FIELDS]
+        ORDER, "payload.trip_id", *[to_money(F.col(f"payload.{n}")).alias(n) for n in END_FIELDS],
+        _attributes(KEY + END_FIELDS),
     ), bad
 
 
@@ -80,52 +102,93 @@ def _start_merge(trips: DataFrame, starts: DataFrame, _keys: list[str]) -> DataF
 
 
 def _end_merge(trips: DataFrame, ends: DataFrame, _keys: list[str]) -> DataFrame:
-    return apply_ends(trips, ends, [ORDER])
+    """Declared fields are patched, attributes merged name by name; the last end decides."""
+    patched = apply_ends(trips, ends.drop(ATTRIBUTES), [ORDER])
+    brought = (
+        ends.select(*KEY, ORDER, F.inline(ATTRIBUTES))
+        .groupBy(*KEY, "key").agg(F.max_by("value", F.struct(ORDER, F.coalesce("value", F.lit("")))).alias("value"))
+        .groupBy(*KEY).agg(F.collect_list(F.struct("key", "value")).alias("brought"))
+    )
+    names = F.transform("brought", lambda a: a["key"])
+    rest = F.filter(F.coalesce(ATTRIBUTES, F.array()), lambda a: ~F.array_contains(names, a["key"]))
+    merged = F.when(F.col("brought").isNull(), F.col(ATTRIBUTES)).otherwise(F.array_sort(F.concat(rest, F.col("brought"))))
+    return patched.join(brought, KEY, "left").withColumn(ATTRIBUTES, merged).select(*trips.columns)
 
 
-def _upsert(table: KeyedTable, rows: DataFrame, merge, feed: str, batch: int | None) -> None:
-    """Merge the rows of a batch, which are decoded once and kept meanwhile."""
-    kept = rows.persist()
-    try:
-        table.upsert(kept, KEY, merge, feed=feed, batch=batch)
-    finally:
-        kept.unpersist()
+def _run_id(table: KeyedTable, batch: int | None) -> str:
+    """The same for a batch that is run again; a call without a batch is a run of its own."""
+    return f"batch-{batch:010d}" if batch is not None else f"version-{table.version():010d}-{uuid.uuid4().hex}"
+
+
+def _put_aside(rows: DataFrame, path: str | None, feed: str, reason: str, run_id: str) -> None:
+    """Write records that were not applied, as received, under the feed and the reason."""
+    if path is not None:
+        rows.select(F.col(ORDER).cast("string").alias(ORDER), "data").write.mode("overwrite").parquet(
+            f"{path.rstrip('/')}/feed={feed}/reason={reason}/run={run_id}")
+
+
+def read_put_aside(spark: SparkSession, path: str) -> DataFrame:
+    """sequence, data, feed and reason of all records put aside."""
+    schema = "sequence string, data string, feed string, reason string, run string"
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], schema).drop("run")
+    return spark.read.schema(schema).parquet(path).drop("run")
 
 
 def apply_start_records(
-    table: KeyedTable, records: DataFrame, batch: int | None = None, grain: str = "day"
+    table: KeyedTable, records: DataFrame, batch: int | None = None, grain: str = "day", aside: str | None = None
 ) -> None:
-    started, _failed = decode_starts(records)
-    _upsert(table, _as_trips(started, grain), _start_merge, "starts", batch)
+    """Put started trips; records that fail go to the folder ``aside``."""
+    records = staged(records, "trip-starts")
+    started, failed = decode_starts(records)
+    run_id = _run_id(table, batch)
+    table.upsert(_as_trips(started, grain), KEY, _start_merge, feed="starts", batch=batch)
+    _put_aside(failed, aside, "starts", FAILED, run_id)
 
 
 def apply_end_records(
-    table: KeyedTable, records: DataFrame, batch: int | None = None, report_path: str | None = None
+    table: KeyedTable, records: DataFrame, batch: int | None = None, report_path: str | None = None,
+    aside: str | None = None,
 ) -> None:
-    """Patch known trips; then refresh the daily fares once for the batch."""
-    ended, _failed = decode_ends(records)
-    _upsert(table, ended, _end_merge, "ends", batch)
+    """Patch known trips; then report the fares of the dates the batch touched.
+
+    Records that fail, and ends of trips that are not known, go to the folder
+    ``aside``. A batch that is run again writes the same folders again.
+    """
+    records = staged(records, "trip-ends")
+    ended, failed = decode_ends(records)
+    run_id = _run_id(table, batch)
+    table.upsert(ended, KEY, _end_merge, feed="ends", batch=batch)
+    _put_aside(failed, aside, "ends", FAILED, run_id)
+    if aside is not None:
+        # Unknown to the version that the batch was merged into, not to a later one.
+        known = table.read(version=table.merged_into("ends"))
+        unknown = skipped_ends(known, ended).select(ORDER).distinct()
+        _put_aside(records.join(unknown, ORDER, "left_semi"), aside, "ends", SKIPPED, run_id)
     if report_path is not None:
-        run_id = f"{batch:010d}-{table.version():010d}"
-        write_json(daily_fares(table.read()), report_path, run_id, "date")
+        dates = table.touched_dates(ended.select(*KEY), KEY)
+        write_json(daily_fares(table.read(dates)), report_path, run_id, "date")
 
 
 def start_lifecycle(
     records: DataFrame, table: KeyedTable, checkpoint: str, kind: str, trigger: dict = EVERY_20_SECONDS,
-    report_path: str | None = None, grain: str = "day",
+    report_path: str | None = None, grain: str = "day", aside: str | None = None,
 ) -> StreamingQuery:
     """Keep the trip table up to date from a stream of ``starts`` or ``ends``.
 
     ``grain`` is the width of the table's date folders, ``day`` or ``month``.
+    Both streams may run at the same time: each merges into what the other has
+    published. Ends that come before their start are put aside as skipped;
+    ``replay_skipped`` applies them later.
 
     The table remembers the last batch of each feed, so a batch that is run
     again after a failure changes nothing.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         if kind == "starts":
-            apply_start_records(table, batch, batch_id, grain)
+            apply_start_records(table, batch, batch_id, grain, aside)
         else:
-            apply_end_records(table, batch, batch_id, report_path)
+            apply_end_records(table, batch, batch_id, report_path, aside)
 
     return (
         records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -133,26 +196,65 @@ def start_lifecycle(
     )
 
 
-def with_outcome_counts(parsed: DataFrame, name: str = "outcomes") -> DataFrame:
-    """Count processed and failed records of each batch as it runs by."""
-    return parsed.observe(
-        name, F.count_if("valid").alias("processed"), F.count_if(~F.col("valid")).alias("errors")
+def replay_skipped(table: KeyedTable, aside: str, report_path: str | None = None) -> None:
+    """Apply ends that were put aside as skipped to the trips known by now."""
+    waiting = read_put_aside(table.spark, aside).filter((F.col("feed") == "ends") & (F.col("reason") == SKIPPED))
+    apply_end_records(table, waiting.select(F.col(ORDER).cast("bigint").alias(ORDER), "data"), report_path=report_path)
+
+
+def latest_fares(spark: SparkSession, report_path: str) -> DataFrame:
+    """Fares of each date by the run that reported it last: date and ``v``."""
+    files = spark.read.option("recursiveFileLookup", "true").text(report_path)
+    fares = files.select(
+        F.explode(F.from_json("value", FARES)).alias("date", "v"), F.col("_metadata.file_modification_time").alias("at"),
+        F.col("_metadata.file_path").alias("file"))
+    return fares.groupBy("date").agg(F.max_by("v", F.struct("at", "file")).alias("v"))
+
+
+def start_outcome_counts(
+    parsed: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_20_SECONDS
+) -> StreamingQuery:
+    """Write the processed and failed records of each batch, counted, under its number.
+
+    A batch that is run again replaces its counts; ``outcome_counts`` adds up
+    all of them, however many batches there were.
+    """
+    def count(batch: DataFrame, batch_id: int) -> None:
+        batch.agg(
+            F.count_if("valid").alias("processed"), F.count_if(~F.col("valid")).alias("errors")
+        ).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    return (
+        parsed.select("valid").writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
+        .trigger(**trigger).start()
     )
 
 
+def outcome_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Processed and failed records of all batches; zero when none has run."""
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([(0, 0)], "processed bigint, errors bigint")
+    counted = spark.read.schema("processed bigint, errors bigint, batch bigint").parquet(path)
+    return counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("processed", "errors")])
+
+
 def correlate_trips(
-    starts: DataFrame, ends: DataFrame, longest: str = "24 hours", lateness: str = "10 minutes"
+    starts: DataFrame, ends: DataFrame, longest: str | None = None, lateness: str = "10 minutes"
 ) -> DataFrame:
     """Pair each end with its start; an end without one keeps nulls.
 
-    ``starts``: trip_id, started_at, ...; ``ends``: trip_id, ended_at, .... The
-    time bound lets a stream drop starts that can no longer be matched.
+    ``starts``: trip_id, started_at, ...; ``ends``: trip_id, ended_at, .... A
+    stream needs ``longest``, the longest trip that is matched, to know which
+    starts it can drop; in a batch trips may take any time.
     """
+    if longest is None and (starts.isStreaming or ends.isStreaming):
+        raise ValueError("a stream needs the longest time between start and end")
     begun = starts.withWatermark("started_at", lateness).withColumnRenamed("trip_id", "start_trip_id")
     done = ends.withWatermark("ended_at", lateness)
     same = (
         (F.col("trip_id") == F.col("start_trip_id"))
         & (F.col("started_at") <= F.col("ended_at"))
-        & (F.col("ended_at") <= F.col("started_at") + F.expr(f"INTERVAL {longest}"))
     )
+    if longest is not None:
+        same = same & (F.col("ended_at") <= F.col("started_at") + F.expr(f"INTERVAL {longest}"))
     return done.join(begun, same, "left_outer")
