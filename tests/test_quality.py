@@ -8,7 +8,7 @@ from tidemark.operators import quality
 from tidemark.schemas import FILE_CONTRACTS, REQUIRED_COLUMNS
 
 GOOD_ORDERS = "order_id,user_id,status,created_at,num_of_item\n1,2,Complete,2021-06-01 00:00:00 UTC,3\n"
-ITEMS = "id,order_id,user_id,product_id,created_at\n1,100,200,300,2021-06-01\n"
+ITEMS = "id,order_id,user_id,product_id,created_at\n7,31,5,88,2022-03-09\n"
 
 
 def put(folder, name, text):

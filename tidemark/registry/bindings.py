@@ -9,11 +9,11 @@ from ..functions.numbers import to_money
 from .core import table
 
 BROWSERS = [
-    "Mozilla/5.0 (iPhone; CPU iPhone OS 13_2 like Mac OS X) Mobile/15E148 Safari/604.1",
-    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) Chrome/58.0 Safari/537.3",
-    "Mozilla/5.0 (Linux; Android 9) Chrome/70.0",
+    "Roamer/7.2 (iPhone; model Q4) TideEngine/11",
+    "Roamer/7.2 (desk machine; 64 bit) TideEngine/11",
+    "Lantern/3 (Android tablet)",
     'Text browser "plain", version 2',
-    "Mozilla/5.0 (iPad; CPU OS 12_2 like Mac OS X) Safari/604.1",
+    "Lantern/3 (iPad)",
 ]
 TRAFFIC = {
     "view": "Google Search", "click": "Facebook", "signup": "Email Newsletter",

@@ -246,6 +246,71 @@ def lakehouse_products(spark, sf):
     return lakehouse.upsert_lake_table(lake, changed, layout).read()
 
 
+def _lake(spark, name: str, held, incoming):
+    """Create a lake table from one frame and merge another into it."""
+    layout = lakehouse.LAKE_TABLES[name]
+    lake = tables.KeyedTable(spark, scratch_path(spark, f"lake-{name}"))
+    lakehouse.upsert_lake_table(lake, held, layout)
+    return lakehouse.upsert_lake_table(lake, incoming, layout).read()
+
+
+def _flights(spark, sf, statuses, changed, *columns):
+    """Orders as flights; those that come in again bring new values."""
+    orders = table(spark, sf, "orders").filter(F.col("o_orderstatus").isin(*statuses))
+    return orders.select(
+        F.col("o_orderkey").alias("flight_id"),
+        F.concat(F.lit("new " if changed else "old "), F.col("o_orderpriority")).alias("status"),
+        (to_money(F.col("o_totalprice")) - (0 if changed else 1)).cast("decimal(18,2)").alias("amount"),
+        F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("created_at"),
+    ).select("flight_id", *columns)
+
+
+_FLIGHT = """(case when o_orderstatus = 'P' then 'old ' else 'new ' end) || o_orderpriority"""
+
+
+@query("lakehouse_flights", f"""
+select o_orderkey as flight_id, {_FLIGHT} as status, {ts("date_trunc('month', o_orderdate)")} as created_at,
+  {day("date_trunc('month', o_orderdate)")} as flight_date from orders where o_orderstatus in ('F', 'P', 'O')""")
+def lakehouse_flights(spark, sf):
+    """A table by date whose rows keep their dates."""
+    return _lake(spark, "flights", _flights(spark, sf, ("F", "P"), False, "status", "created_at"),
+                 _flights(spark, sf, ("F", "O"), True, "status", "created_at"))
+
+
+@query("lakehouse_flight_logistics", f"""
+select o_orderkey as flight_id, {_FLIGHT} as status from orders where o_orderstatus in ('F', 'P', 'O')""")
+def lakehouse_flight_logistics(spark, sf):
+    return _lake(spark, "flight_logistics", _flights(spark, sf, ("F", "P"), False, "status"),
+                 _flights(spark, sf, ("F", "O"), True, "status"))
+
+
+@query("lakehouse_passenger_experience", f"""
+select o_orderkey as flight_id, cast({AMOUNT} - case when o_orderstatus = 'P' then 1 else 0 end as double) as amount
+from orders where o_orderstatus in ('F', 'P', 'O')""")
+def lakehouse_passenger_experience(spark, sf):
+    return _lake(spark, "passenger_experience", _flights(spark, sf, ("F", "P"), False, "amount"),
+                 _flights(spark, sf, ("F", "O"), True, "amount"))
+
+
+@query("lakehouse_order_items", f"""
+with items as (select l_orderkey o, l_linenumber n, sum({money('l_extendedprice')}) a, max(l_returnflag) f,
+  date_trunc('month', min(l_shipdate)) t from lineitem group by 1, 2)
+select o as order_id, cast(n as bigint) as id, cast(a + case when f <> 'R' then 1 else 0 end as double) as amount,
+  {ts('t')} as order_timestamp, {day('t')} as order_date from items""")
+def lakehouse_order_items(spark, sf):
+    """Two key columns, by date: all items, then new amounts for those not returned."""
+    items = table(spark, sf, "lineitem").groupBy(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("bigint").alias("id")
+    ).agg(
+        F.sum(to_money(F.col("l_extendedprice"))).alias("amount"), F.max("l_returnflag").alias("flag"),
+        F.date_trunc("month", F.min("l_shipdate")).cast("timestamp_ntz").alias("order_timestamp"),
+    )
+    items = staged(items, "order-items")
+    kept = ["order_id", "id", F.col("amount").cast("decimal(18,2)").alias("amount"), "order_timestamp"]
+    raised = items.filter("flag <> 'R'").withColumn("amount", F.col("amount") + 1)
+    return _lake(spark, "order_items", items.select(*kept), raised.select(*kept))
+
+
 # -- extracts and marks -----------------------------------------------------------------
 _ORDER = f"o_orderkey, {ts('o_orderdate')} as o_orderdate, o_totalprice"
 _FIELDS = ["o_orderkey", "o_orderdate", "o_totalprice"]
