@@ -7,10 +7,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from conftest import SF_DIR, rows
 from tidemark.operators import joins, merge
 from tidemark.plans import commerce, rental
+from tidemark.registry import QUERIES
 from tidemark.registry import bindings as b
 from tidemark.session import fits_broadcast, shared_folder, size_shuffles
 
@@ -23,23 +23,23 @@ SLOW_TO_BUILD = ("stream", "mobile", "latest", "trip", "signal", "gps", "status"
 
 
 @pytest.mark.parametrize("name", [
-    n for n in sorted(entry_points.queries()) if not any(w in n for w in SLOW_TO_BUILD)
+    n for n in sorted(QUERIES) if not any(w in n for w in SLOW_TO_BUILD)
 ])
 def test_no_plan_multiplies_rows_or_calls_python(spark, name):
-    plan = plan_of(entry_points.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert node not in plan
 
 
 def test_scans_read_the_columns_they_need(spark, settings):
     settings(maxMetadataStringLength="2000")
-    plan = plan_of(entry_points.queries()["location_performance"](spark, SF_DIR))
+    plan = plan_of(QUERIES["location_performance"](spark, SF_DIR))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in plan
     assert "PushedFilters: [IsNotNull(l_suppkey), IsNotNull(l_partkey)]" in plan
 
 
 def test_ranks_are_cut_before_the_shuffle(spark):
-    plan = plan_of(entry_points.queries()["rank_within_group"](spark, SF_DIR))
+    plan = plan_of(QUERIES["rank_within_group"](spark, SF_DIR))
     assert re.search(r"WindowGroupLimit .*Partial", plan)
 
 
@@ -143,3 +143,10 @@ def test_bindings_read_whole_tables(spark):
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
     assert b.line_streams(spark, SF_DIR).count() == lines
     assert b.shop_items(spark, SF_DIR).count() == lines
+
+
+def test_hourly_kpis_expand_no_rows(spark, sf_dir):
+    from tidemark.plans.listening import hourly_kpis
+
+    plan = plan_of(hourly_kpis(b.event_streams(spark, sf_dir), b.songs(spark, sf_dir), b.listeners(spark, sf_dir)))
+    assert "Expand" not in plan and "spark_grouping_id" not in plan

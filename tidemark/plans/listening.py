@@ -62,46 +62,41 @@ def genre_daily_kpis(streams: DataFrame, songs: DataFrame) -> DataFrame:
 def hourly_kpis(streams: DataFrame, songs: DataFrame, users: DataFrame) -> DataFrame:
     """Listeners, top artist, sessions per user, track diversity and age group.
 
-    A session is a user at one listen time. All facets of an hour come from
-    one grouping-sets pass, which counts each distinct facet value; users,
-    sessions and tracks are then added up by hash, so that only the artists and
-    age groups of an hour are left to be compared.
+    A session is a user at one listen time. Plays are counted per hour, user
+    and track before they meet the songs and users; every facet is added up
+    from these counts. Only the sessions go back to single plays, of which
+    they need the hour, user and time.
     """
-    heard = (
-        streams.select(
-            F.to_date("listen_time").alias("listen_date"),
-            F.hour("listen_time").alias("listen_hour"),
-            "user_id", "track_id", "listen_time",
-        )
-        .filter(F.col("listen_date").isNotNull())
+    hour = ["listen_date", "listen_hour"]
+    heard = streams.select(
+        F.to_date("listen_time").alias("listen_date"),
+        F.hour("listen_time").alias("listen_hour"),
+        "user_id", "track_id", "listen_time",
+    ).filter(F.col("listen_date").isNotNull())
+    cells = staged(
+        heard.groupBy(*hour, "user_id", "track_id").agg(F.count("*").alias("plays"))
         .join(songs.select("track_id", "artists"), "track_id")
-        .join(users.select("user_id", age_band(F.col("user_age")).alias("age_group")), "user_id")
+        .join(users.select("user_id", age_band(F.col("user_age")).alias("age_group")), "user_id"),
+        "hour-cells",
     )
-    hour = ["listen_date", "listen_hour"]
-    facets = ["user_id", "listen_time", "track_id", "artists", "age_group"]
-    sets = [["user_id"], ["user_id", "listen_time"], ["track_id"], ["artists"], ["age_group"]]
-    counted = heard.groupingSets(
-        [[F.col(c) for c in hour + s] for s in sets], *[F.col(c) for c in hour + facets]
-    ).agg(F.count("*").alias("plays"), F.grouping_id().alias("facet"))
 
-    def is_set(columns: list[str]):
-        left_out = sum(1 << i for i, c in enumerate(reversed(facets)) if c not in columns)
-        return F.col("facet") == F.lit(left_out)
+    def added(column: str) -> DataFrame:
+        return cells.groupBy(*hour, column).agg(F.sum("plays").alias("plays"))
 
-    users_, sessions, tracks, artists, ages = map(is_set, sets)
-    # Outside its own facet a label column is null.
-    added = counted.groupBy(*hour, "facet", F.coalesce("artists", "age_group").alias("label")).agg(
-        F.count("*").alias("n"), F.sum("plays").alias("plays")
+    artists, ages = (added(c).filter(F.col(c).isNotNull()) for c in ("artists", "age_group"))
+    listeners = cells.select(*hour, "user_id").distinct()
+    sessions = (
+        heard.join(songs.select("track_id"), "track_id", "left_semi")
+        .groupBy(*hour, "user_id").agg(F.count_distinct("listen_time").alias("sessions"))
+        .join(listeners, [*hour, "user_id"], "left_semi")
     )
-    named = F.col("label").isNotNull()
-    per_hour = added.groupBy(*hour).agg(
-        F.sum(F.when(users_, F.col("n"))).alias("unique_listeners"),
-        F.sum(F.when(sessions, F.col("n"))).alias("sessions"),
-        F.sum(F.when(tracks, F.col("n"))).alias("tracks"),
-        F.sum(F.when(tracks, F.col("plays"))).alias("plays"),
-        F.max(F.when(artists & named, F.col("plays"))).alias("listen_counts"),
-        most_frequent(F.col("label"), F.col("plays"), artists & named).alias("top_artist"),
-        most_frequent(F.col("label"), F.col("plays"), ages & named).alias("age_group"),
+    # From here on a row per hour.
+    per_hour = (
+        artists.groupBy(*hour).agg(
+            F.max("plays").alias("listen_counts"), most_frequent(F.col("artists"), F.col("plays")).alias("top_artist"))
+        .join(sessions.groupBy(*hour).agg(F.count("*").alias("unique_listeners"), F.sum("sessions").alias("sessions")), hour)
+        .join(added("track_id").groupBy(*hour).agg(F.count("*").alias("tracks"), F.sum("plays").alias("plays")), hour)
+        .join(ages.groupBy(*hour).agg(most_frequent(F.col("age_group"), F.col("plays")).alias("age_group")), hour, "left")
     )
     return per_hour.filter(F.col("top_artist").isNotNull()).select(
         *hour,
