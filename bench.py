@@ -16,7 +16,7 @@ import sys
 import time
 
 from tidemark.registry import QUERIES
-from tidemark.session import build_session
+from tidemark.session import build_session, clear_scratch
 
 BATCH = [
     "genre_daily_kpis", "hourly_kpis", "top_songs", "transaction_metrics", "user_metrics",
@@ -54,6 +54,7 @@ def main() -> None:
         again = [seconds(spark, name, sf_dir) for _ in range(0 if name in STREAMING else runs)]
         timed[name] = round(statistics.median(again or [first]), 3)
         print(f"{name} {timed[name]}", file=sys.stderr)
+    clear_scratch(spark)
     spark.stop()
     print(json.dumps({
         "metric": "sum of median query seconds", "value": round(sum(timed.values()), 3), "unit": "sec",

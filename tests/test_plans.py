@@ -150,3 +150,20 @@ def test_hourly_kpis_expand_no_rows(spark, sf_dir):
 
     plan = plan_of(hourly_kpis(b.event_streams(spark, sf_dir), b.songs(spark, sf_dir), b.listeners(spark, sf_dir)))
     assert "Expand" not in plan and "spark_grouping_id" not in plan
+
+
+def test_only_hot_keys_are_salted(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1), (None, 2)], "k string, v int")
+    right = spark.createDataFrame([("hot", "x"), ("cold", "y"), ("other", "z")], "k string, w string")
+    got = joins.salted_join(left, right, ["k"], salts=4, hot=F.col("k") == "hot")
+    assert rows(got) == rows(left.join(right, "k"))
+    assert rows(joins.salted_join(left, right, ["k"], "left", 4, F.col("k") == "hot")) == rows(left.join(right, "k", "left"))
+
+
+def test_scratch_is_cleared(spark, tmp_path):
+    from tidemark import session, storage
+    from tidemark.operators.staging import staged
+
+    staged(spark.range(3), "cleared")
+    session.clear_scratch(spark)
+    assert storage.listing(spark, session._scratch(spark)) == []

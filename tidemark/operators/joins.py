@@ -7,7 +7,7 @@ broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import fits_broadcast
@@ -16,25 +16,35 @@ SALT = "__salt"
 SALTS = 16
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Spread each key of the left side over ``salts`` tasks.
+def salted_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS, hot: Column | None = None
+) -> DataFrame:
+    """Spread the keys of the left side that are ``hot`` over ``salts`` tasks.
 
+    ``hot`` is a condition on the key columns; without it every key is spread.
     The salt is a hash of the row, so a task that is run again gives the same
-    rows. The right side is repeated once per salt.
+    rows. Rows of the right side are repeated once per salt where their key is
+    hot, and stay single elsewhere.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how}")
-    spread = left.withColumn(SALT, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    is_hot = F.lit(True) if hot is None else F.coalesce(hot, F.lit(False))
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    spread = left.withColumn(SALT, F.when(is_hot, salt).otherwise(0))
+    last = F.when(is_hot, F.lit(salts - 1)).otherwise(0)
+    copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
     return spread.join(copies, [*on, SALT], how).drop(SALT)
 
 
-def join_static(stream: DataFrame, static: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def join_static(
+    stream: DataFrame, static: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS,
+    hot: Column | None = None,
+) -> DataFrame:
     """Join rows as they come with a static table: broadcast while its size
-    allows, salted beyond that."""
+    allows, salted beyond that. Name the ``hot`` keys, or all are salted."""
     if fits_broadcast(static):
         return stream.join(F.broadcast(static), on, how)
-    return salted_join(stream, static, on, how) if stream.isStreaming else stream.join(static, on, how)
+    return salted_join(stream, static, on, how, salts, hot) if stream.isStreaming else stream.join(static, on, how)
 
 
 def suffixed(df: DataFrame, suffix: str, keep: list[str]) -> DataFrame:

@@ -88,12 +88,12 @@ def latest_snapshot(spark, sf):
     return sources.read_latest_snapshot(spark, root, LANDED_ORDERS)
 
 
-@query("csv_extract_export", f"select {_LANDED}, o_totalprice as amount from orders where o_orderstatus = 'F'")
+@query("csv_extract_export", f"select {_LANDED}, o_totalprice as amount from orders")
 def csv_extract_export(spark, sf):
     """An export; the empty extract that follows leaves it in place."""
     path = scratch_path(spark, "export")
     orders = _orders(spark, sf)
-    sinks.write_extract(orders.filter("status = 'F'"), path)
+    sinks.write_extract(orders, path)
     sinks.write_extract(orders.filter("status = 'X'"), path)
     return sources.read_csv(spark, path, LANDED_ORDERS)
 

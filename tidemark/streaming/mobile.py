@@ -19,6 +19,7 @@ BASE_DATE = "2023-01-01"
 WINDOW = "2 minutes"
 LATENESS = "10 minutes"
 
+# Folders and columns of the written files.
 PARTITIONS = {
     "signal_strength_by_operator": ["partition_hour", "postal_code"],
     "gps_precision_by_provider": ["partition_hour", "provider"],
@@ -89,7 +90,7 @@ def start_metrics(
     ]
 
 
-# Columns of the written files besides the layout columns.
+# Columns of the written files besides the layout columns.
 FILE_COLUMNS = {
     "signal_strength_by_operator": "operator string, average_signal double",
     "gps_precision_by_provider": "average_precision double, average_satellites double",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.times import parse_timestamp
 from ..operators.joins import join_static
 
+# The window, and the names of the result's columns below.
 WINDOW = "30 minutes"
 LATENESS = "10 minutes"
 
