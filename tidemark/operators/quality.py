@@ -73,22 +73,25 @@ def _fits(value: Column, kind: str, strict: bool) -> Column:
     return F.lit(True)
 
 
+def _value_of(name: str) -> Column:
+    """Cell of a column by the file's own header; null where the file lacks the column."""
+    # Position 0 means that the file lacks the column.
+    return F.try_element_at("cells", F.nullif(F.array_position("header", name), F.lit(0)).cast("int"))
+
+
 def check_format(
     spark: SparkSession, dataset: str, path: str, contract: dict[str, str], strict: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = False, counts: bool = False,
 ) -> DataFrame:
     """Report of every file under the path: missing columns, no rows, or the first
     column with values of the wrong kind. ``strict`` also rejects unreadable
-    timestamps. ``multi_line`` is for files whose quoted texts hold line breaks."""
+    timestamps. ``multi_line`` is for files whose quoted texts hold line breaks;
+    ``counts`` adds the rows of each file and its values of the wrong kind."""
     cells = _cells(spark, path, multi_line)
     lines = cells.join(_headers(cells), FILE)
-
-    def value_of(name: str) -> Column:
-        # Position 0 means that the file lacks the column.
-        return F.try_element_at("cells", F.nullif(F.array_position("header", name), F.lit(0)).cast("int"))
-
+    value_of = _value_of
     is_data = F.col("at") != F.col("first")
-    counts = lines.groupBy(FILE).agg(
+    found = lines.groupBy(FILE).agg(
         F.first("header").alias("header"), F.count_if(is_data).alias("rows"),
         *[F.count_if(is_data & ~_fits(value_of(c), kind, strict)).alias(f"bad_{c}") for c, kind in contract.items()],
     )
@@ -98,8 +101,9 @@ def check_format(
     ).when(F.col("rows") == 0, F.lit(NO_ROWS)).otherwise(F.coalesce(*[
         F.when(F.col(f"bad_{c}") > 0, F.lit(f"{c}: expected {kind}")) for c, kind in contract.items()
     ]))
-    return counts.select(F.lit(dataset).alias("dataset"), FILE, problem.alias("problem")).select(
-        "dataset", FILE, F.col("problem").isNull().alias("valid"), "problem"
+    bad = sum((F.col(f"bad_{c}") for c in contract), F.lit(0)).cast("bigint").alias("bad_values")
+    return found.select(F.lit(dataset).alias("dataset"), FILE, problem.alias("problem"), "rows", bad).select(
+        "dataset", FILE, F.col("problem").isNull().alias("valid"), "problem", *(["rows", "bad_values"] if counts else [])
     )
 
 
@@ -137,6 +141,19 @@ def _valid_files(report: DataFrame, dataset: str) -> DataFrame:
     return report.filter("valid").filter(F.col("dataset") == dataset).select(FILE)
 
 
+def read_valid_rows(
+    spark: SparkSession, report: DataFrame, dataset: str, path: str, schema: StructType, multi_line: bool = False
+) -> DataFrame:
+    """Rows of the files that pass, read where they lie; no list of files is made.
+
+    Columns go by each file's own header; a value of another kind is null.
+    """
+    cells = _cells(spark, path, multi_line)
+    lines = cells.join(_headers(cells), FILE).join(_valid_files(report, dataset), FILE, "left_semi")
+    return lines.filter(F.col("at") != F.col("first")).select(
+        *[_value_of(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+
+
 def select_valid_files(report: DataFrame, dataset: str) -> list[str]:
     """Paths to read on; one entry per file."""
     spark = report.sparkSession

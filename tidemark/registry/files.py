@@ -196,6 +196,28 @@ def validated_rows(spark, sf):
     return sources.read_csv(spark, ready, COMMERCE_ORDERS).select("order_id", "user_id", "status", "created_at")
 
 
+@query("valid_rows_in_place", """
+select o_orderkey as order_id, o_custkey as user_id, o_orderstatus as status,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ' UTC' as created_at from orders where o_orderstatus = 'F'""")
+def valid_rows_in_place(spark, sf):
+    """The same rows without moving or listing a file."""
+    path = _landing(spark, sf)["orders"]
+    report = quality.check_format(spark, "orders", path, FILE_CONTRACTS["orders"])
+    return quality.read_valid_rows(spark, report, "orders", path, COMMERCE_ORDERS).select(
+        "order_id", "user_id", "status", "created_at")
+
+
+@query("file_value_counts", """
+select 'orders' as dataset, count(*) as n_rows,
+  count(*) filter (o_orderstatus = 'P') + 2 * count(*) filter (o_orderstatus = 'O') as bad_values from orders
+union all select 'order_items', count(*), 0 from lineitem union all select 'products', count(*), count(*) from part""")
+def file_value_counts(spark, sf):
+    """Rows and values of the wrong kind over all files of three datasets."""
+    parts = [quality.check_format(spark, d, p, FILE_CONTRACTS[d], counts=True) for d, p in _landing(spark, sf).items()]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return whole.groupBy("dataset").agg(F.sum("rows").alias("n_rows"), F.sum("bad_values").alias("bad_values"))
+
+
 @query("readiness_gates", """
 select * from (values ('columns: orders', false), ('columns: order_items', true), ('columns: products', true),
   ('inputs present', true), ('inputs present, one missing', false), ('one valid file of each', false))
