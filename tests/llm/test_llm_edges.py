@@ -253,7 +253,8 @@ def test_what_fails_its_check_stays(spark, text):
 
 @pytest.mark.parametrize("text, shape", [
     ("+1 (988) 555-2485", r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}"), ("123-45-6789", pseudonyms.SSN), ("(212) 555-0100", r"\([2-9]\d\d\) [2-9]\d\d-\d{4}"),
-    ("+49 30 1234567", r"\+49 \d\d \d{7}"), ("12/25/1999", pseudonyms.MONTH_DATE.format(g=1)), ("2001/02/28", pseudonyms.ISO_DATE.format(g=1)),
+    ("+1 (156) 555-2485", r"\+1 \([01]\d\d\) \d{3}-\d{4}"), ("+1 (456) 155-2485", r"\+1 \([2-9]\d\d\) [01]\d\d-\d{4}"),
+    ("+1 456 555 2485", r"\+1 [2-9]\d\d [2-9]\d\d \d{4}"), ("+49 30 1234567", r"\+49 \d\d \d{7}"), ("12/25/1999", pseudonyms.MONTH_DATE.format(g=1)), ("2001/02/28", pseudonyms.ISO_DATE.format(g=1)),
     ("378282246310005", r"\d{15}"), ("10.0.0.1", pseudonyms.IPV4)])
 def test_pseudonyms_keep_their_format(spark, text, shape):
     import re

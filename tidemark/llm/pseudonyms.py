@@ -25,7 +25,8 @@ DAY_DATE = rf"{_DAY}([-/.]){_MONTH}\{{g}}{_YEAR}"
 MONTH_DATE = rf"{_MONTH}([-/.]){_DAY}\{{g}}{_YEAR}"
 IPV4 = rf"{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}(?!\.\d)"
 SSN = r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}"
-AMERICAN = r"(?:\+?1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[.-])[2-9]\d\d[ .-]\d{4}|\+1[ .-]?[2-9]\d\d[ .-]?[2-9]\d\d[ .-]?\d{4}"
+# With the country code any ten digits are a number, else area and exchange must be valid.
+AMERICAN = r"(?:1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[.-])[2-9]\d\d[ .-]\d{4}|\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
 FOREIGN = r"\+(?!1)[2-9]\d(?:[ .-]?\d{2,4}){2,4}"
 CARD = r"\d{13,19}|\d{4}([ -])\d{4}\{g}\d{4}\{g}\d{4}|\d{4}([ -])\d{6}\{h}\d{5}"
 KINDS = ("iso", "day", "month", "ip", "ssn", "american", "foreign", "card")
@@ -134,11 +135,17 @@ def _moved_ssn(match: Column, key: str) -> Column:
 
 
 def _moved_american(match: Column, digits: Column, key: str) -> Column:
-    """Area and exchange codes do not begin with 0 or 1."""
+    """Area and exchange codes do not begin with 0 or 1; numbers where one does
+    are permuted among those that break the rule in the same place."""
     ten = F.right(digits, F.lit(10))
-    pair = feistel(F.left(ten, F.lit(3)).cast("bigint") - 200, 800, F.right(ten, F.lit(7)).cast("bigint") - 2000000, 8000000,
-                   key, "phone")
-    moved = _with(pair, lambda p: F.concat((p["left"] + 200).cast("string"), (p["right"] + 2000000).cast("string")))
+    area, rest = F.left(ten, F.lit(3)).cast("bigint"), F.right(ten, F.lit(7)).cast("bigint")
+    low_area, low_rest = area < 200, (area >= 200) & (rest < 2000000)
+    first = F.when(low_area, 0).otherwise(200)
+    first_rest = F.when(low_area | low_rest, 0).otherwise(2000000)
+    areas = F.when(low_area, 200).otherwise(800)
+    rests = F.when(low_area, 10000000).when(low_rest, 2000000).otherwise(8000000)
+    pair = feistel(area - first, areas, rest - first_rest, rests, key, "phone")
+    moved = _with(pair, lambda p: F.concat(_padded(p["left"] + first, 3), _padded(p["right"] + first_rest, 7)))
     return _refilled(match, F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), moved))
 
 
