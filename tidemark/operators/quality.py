@@ -10,15 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from .. import storage
 from ..functions.times import strip_utc
-from ..sources.files import csv_options, file_listing
+from ..sources.files import FILE, file_cells, file_listing, headers, value_of
 from .staging import staged
 
-FILE = "file"
 NO_ROWS = "no rows"
+# Every CSV file below a path.
+EVERY_CSV = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
 
 
 def check_columns(df: DataFrame, required: list[str]) -> list[str]:
@@ -26,38 +27,9 @@ def check_columns(df: DataFrame, required: list[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-def _cells(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Every record of every CSV file under a path as an array of texts.
-
-    There are as many cells as the widest header line has; what a record has
-    beyond its header belongs to no column.
-    """
-    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
-    heads = (
-        spark.read.options(**options).text(path).filter(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias("at"), "value")
-        .filter("value <> ''").groupBy(FILE).agg(F.min_by("value", "at").alias("line"))
-    )
-    # One number; quoted commas in a header only make it larger.
-    width = heads.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
-    schema = StructType([StructField(f"c{i}", StringType()) for i in range(width)])
-    return spark.read.schema(schema).options(**csv_options(multi_line) | options | {"header": "false"}).csv(path).select(
-        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"), F.array(*schema.names).alias("cells"),
-    )
-
-
-def _headers(cells: DataFrame) -> DataFrame:
-    """file, header and the place of the header line."""
-    return cells.filter(F.col("block") == 0).groupBy(FILE).agg(
-        F.transform(F.min_by("cells", "at"), lambda name: F.coalesce(name, F.lit(""))).alias("header"),
-        F.min("at").alias("first"),
-    )
-
-
 def file_headers(spark: SparkSession, path: str) -> DataFrame:
     """file and header, as an array of names, of every CSV file under a path."""
-    return _headers(_cells(spark, path)).select(FILE, "header")
+    return headers(file_cells(spark, path, **EVERY_CSV)).select(FILE, "header")
 
 
 def _fits(value: Column, kind: str, strict: bool) -> Column:
@@ -73,12 +45,6 @@ def _fits(value: Column, kind: str, strict: bool) -> Column:
     return F.lit(True)
 
 
-def _value_of(name: str) -> Column:
-    """Cell of a column by the file's own header; null where the file lacks the column."""
-    # Position 0 means that the file lacks the column.
-    return F.try_element_at("cells", F.nullif(F.array_position("header", name), F.lit(0)).cast("int"))
-
-
 def check_format(
     spark: SparkSession, dataset: str, path: str, contract: dict[str, str], strict: bool = False,
     multi_line: bool = False, counts: bool = False,
@@ -87,9 +53,8 @@ def check_format(
     column with values of the wrong kind. ``strict`` also rejects unreadable
     timestamps. ``multi_line`` is for files whose quoted texts hold line breaks;
     ``counts`` adds the rows of each file and its values of the wrong kind."""
-    cells = _cells(spark, path, multi_line)
-    lines = cells.join(_headers(cells), FILE)
-    value_of = _value_of
+    cells = file_cells(spark, path, multi_line, **EVERY_CSV)
+    lines = cells.join(headers(cells), FILE)
     is_data = F.col("at") != F.col("first")
     found = lines.groupBy(FILE).agg(
         F.first("header").alias("header"), F.count_if(is_data).alias("rows"),
@@ -148,10 +113,10 @@ def read_valid_rows(
 
     Columns go by each file's own header; a value of another kind is null.
     """
-    cells = _cells(spark, path, multi_line)
-    lines = cells.join(_headers(cells), FILE).join(_valid_files(report, dataset), FILE, "left_semi")
+    cells = file_cells(spark, path, multi_line, **EVERY_CSV)
+    lines = cells.join(headers(cells), FILE).join(_valid_files(report, dataset), FILE, "left_semi")
     return lines.filter(F.col("at") != F.col("first")).select(
-        *[_value_of(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+        *[value_of(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def select_valid_files(report: DataFrame, dataset: str) -> list[str]:

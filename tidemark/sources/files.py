@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.tables import KeyedTable
 from ..schemas import columns
 
+FILE = "file"
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
 
 
@@ -41,22 +42,51 @@ def read_csv(
     return found.select(*[f"`{name}`" for name in schema.names])
 
 
-def read_many(spark: SparkSession, paths: list[str], schema: StructType, multi_line: bool = False) -> DataFrame:
+def file_cells(spark: SparkSession, path: str | list[str], multi_line: bool = False, **options) -> DataFrame:
+    """Every record of the CSV files as an array of texts, header lines too.
+
+    There are as many cells as the widest header line has; what a record has
+    beyond its header belongs to no column.
+    """
+    heads = (
+        spark.read.options(**options).text(path).filter(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias("at"), "value")
+        .filter("value <> ''").groupBy(FILE).agg(F.min_by("value", "at").alias("line"))
+    )
+    # One number; quoted commas in a header only make it larger.
+    width = heads.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
+    schema = StructType([StructField(f"c{i}", StringType()) for i in range(width)])
+    return spark.read.schema(schema).options(**csv_options(multi_line) | options | {"header": "false"}).csv(path).select(
+        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.array(*schema.names).alias("cells"),
+    )
+
+
+def headers(cells: DataFrame) -> DataFrame:
+    """file, header and the place of the header line."""
+    return cells.filter(F.col("block") == 0).groupBy(FILE).agg(
+        F.transform(F.min_by("cells", "at"), lambda name: F.coalesce(name, F.lit(""))).alias("header"),
+        F.min("at").alias("first"),
+    )
+
+
+def value_of(name: str) -> Column:
+    """Cell of a column by the file's own header; null where the file lacks the column."""
+    # Position 0 means that the file lacks the column.
+    return F.try_element_at("cells", F.nullif(F.array_position("header", name), F.lit(0)).cast("int"))
+
+
+def read_many(
+    spark: SparkSession, paths: list[str], schema: StructType, multi_line: bool = False
+) -> DataFrame:
     """One dataset from several places whose headers may differ.
 
-    Columns are taken by name; a place that lacks one gives nulls.
+    Columns are taken by name from each file's own header; a file that lacks
+    one gives nulls. All files are read by one scan, however many there are.
     """
-    parts = []
-    for path in paths:
-        raw = spark.read.options(**csv_options(multi_line)).csv(path)
-        parts.append(raw.select(*[
-            (F.col(f.name) if f.name in raw.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
-            for f in schema
-        ]))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    cells = file_cells(spark, paths, multi_line)
+    return cells.join(headers(cells), FILE).filter(F.col("at") != F.col("first")).select(
+        *[value_of(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def load_staging(spark: SparkSession, path: str, schema: StructType, table: KeyedTable | None = None) -> DataFrame:
