@@ -54,8 +54,9 @@ def dropped_lines(docs: DataFrame, min_chars: int, min_documents: int) -> DataFr
     lines = _line_hashes(docs, min_chars)
     often = staged(lines.groupBy("short").count().filter(F.col("count") >= min_documents).select("short"), "often")
     hot = staged(lines.join(often, "short", "left_semi").select("id", "key"), "hot-lines")
-    shared = (hot.groupBy("key").agg(F.count_distinct("id").alias("n"), F.max("id").alias("stays"))
-              .filter(F.col("n") >= min_documents).select("key", "stays"))
+    # Written first: a join of two new shuffles splits a line that very many documents hold.
+    shared = staged(hot.groupBy("key").agg(F.count_distinct("id").alias("n"), F.max("id").alias("stays"))
+                    .filter(F.col("n") >= min_documents).select("key", "stays"), "shared-lines")
     lost = hot.join(shared, "key").filter(F.col("id") != F.col("stays"))
     return staged(lost.groupBy("id").agg(F.collect_set("key").alias("keys")), "lost-lines")
 
