@@ -24,7 +24,13 @@ def parse_envelope(
     wide = StructType([*schema, StructField(REJECTED, StringType())])
     payload = F.from_json(text, wide, JSON_OPTIONS | {"columnNameOfCorruptRecord": REJECTED})
     parsed = df.withColumn("payload", payload)
-    valid: Column = F.col("payload").isNotNull() & F.col(f"payload.{REJECTED}").isNull() & is_json_object(text)
+    # One pair of braces around the text cannot hold a second object; only other
+    # texts are parsed again.
+    ends = F.btrim(text, F.lit(" \t\r\n"))
+    braces = F.length(text) - F.length(F.translate(text, "{}", ""))
+    flat = ends.startswith("{") & ends.endswith("}") & (braces == 2)
+    single = F.when(flat, F.lit(True)).otherwise(is_json_object(text))
+    valid: Column = F.col("payload").isNotNull() & F.col(f"payload.{REJECTED}").isNull() & single
     for name in not_null:
         # The text is looked at again only where the field has no value.
         unnamed = F.when(
