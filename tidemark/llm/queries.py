@@ -184,7 +184,7 @@ def _packing(table):
 
 @query("op8_line_dedup", r"""
     with lines as (
-        select d.rowid as row_no, doc_id, i, line, lower(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) as any_case,
+        select d.rowid as row_no, doc_id, i, line,
             translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
         from (select row_number() over () as rowid, doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents) d,
