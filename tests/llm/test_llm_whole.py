@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
-from tidemark.llm import decontaminate
+import pytest
+
+from tidemark.llm import decontaminate, url_trust
 
 
 def _items_in_documents(n_items):
@@ -43,3 +45,17 @@ def test_shared_words_lose_nothing():
     vectors = decontaminate.np.zeros((len(queries), 2), "f4")
     found = decontaminate.search(texts, space, queries, vectors, 0.6, decontaminate.SharedWords(queries))
     assert want and {(t, item) for t, item, *_ in found} == want
+
+
+def test_distrust_spreads_beside_many_trusted_hosts(spark):
+    links = spark.createDataFrame([("a.org", "b.org", 1), ("b.org", "x.net", 1)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("trust", f"h{i}.com") for i in range(20_000)] + [("distrust", "x.net")], "kind string, host string")
+    got = {r.host: r.score for r in url_trust.propagate(links, seeds).filter("kind = 'distrust'").collect()}
+    assert got == pytest.approx({"x.net": 0.15, "b.org": 0.1275, "a.org": 0.108375})
+
+
+def test_scores_of_a_cycle_take_all_steps(spark):
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("trust", "a")], "kind string, host string")
+    got = {r.host: r.score for r in url_trust.propagate(links, seeds).collect()}
+    assert got == pytest.approx({k: sum(0.15 * 0.85 ** i for i in range(first, 31, 2)) for first, k in enumerate("ab")}, rel=1e-12)

@@ -10,6 +10,7 @@ pages is a few rows of the graph; sums are combined before their shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,6 @@ RULES = (
 )
 DAMPING = 0.85
 ITERATIONS = 30
-TOLERANCE = 1e-4
 # Share of the least distrust of a blocked seed from which a host is blocked.
 SUSPECT = 0.25
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,12 +59,13 @@ def host_links(pages: DataFrame) -> DataFrame:
             .filter("src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS,
-              tolerance: float = TOLERANCE) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
     """(kind, host, score) for kind 'trust' along the links and 'distrust' against them.
 
-    ``seeds`` has kind and host; each seed starts with ``1 - damping``. Scores
-    only grow, so the growth of their sum tells how far they can still change.
+    ``seeds`` has kind and host; each seed starts with ``1 - damping``. A step
+    passes on what the last one has added, so hosts whose links are used up
+    drop out; the steps end early only when nothing is left to pass on, as a
+    small sum over all hosts says nothing about a single one.
     """
     ways = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n"))
@@ -73,15 +74,15 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, iter
     ways = staged(ways.join(total, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("share")),
                   "host-links")
     base = staged(seeds.select("kind", "host", F.lit(1.0 - damping).alias("score")), "host-seeds")
-    scores, mass = base, base.agg(F.sum("score")).first()[0] or 0.0
+    added, steps = base, [base]
     for _ in range(iterations):
-        passed = scores.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), (
+        passed = added.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), (
             damping * F.col("score") * F.col("share")).alias("score"))
-        scores = staged(base.unionByName(passed).groupBy("kind", "host").agg(F.sum("score").alias("score")), "host-scores")
-        before, mass = mass, scores.agg(F.sum("score")).first()[0] or 0.0
-        if mass - before <= tolerance * before:
+        added = staged(passed.groupBy("kind", "host").agg(F.sum("score").alias("score")), "host-scores")
+        if added.isEmpty():
             break
-    return scores
+        steps.append(added)
+    return reduce(DataFrame.unionByName, steps).groupBy("kind", "host").agg(F.sum("score").alias("score"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url",
