@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
-from tidemark.llm import decontaminate, url_trust
+from tidemark.llm import decontaminate, pseudonyms, url_trust
 
 
 def _items_in_documents(n_items):
@@ -59,3 +60,36 @@ def test_scores_of_a_cycle_take_all_steps(spark):
     seeds = spark.createDataFrame([("trust", "a")], "kind string, host string")
     got = {r.host: r.score for r in url_trust.propagate(links, seeds).collect()}
     assert got == pytest.approx({k: sum(0.15 * 0.85 ** i for i in range(first, 31, 2)) for first, k in enumerate("ab")}, rel=1e-12)
+
+
+FORMS = [
+    ("1987-03-05T10:00:00Z", r"(19|20)\d\d-\d\d-\d\dT10:00:00Z"), ("3/5/1987", r"[1-9]\d?/[1-9]\d?/(19|20)\d\d"),
+    ("1987-3-5", r"(19|20)\d\d-[1-9]\d?-[1-9]\d?"), ("March 5, 1987", r"[A-Z][a-z]{2,8} [1-9]\d?, (19|20)\d\d"),
+    ("5th of MAY 1987", r"[1-9]\d?(st|nd|rd|th) of [A-Z]{3,9} (19|20)\d\d"), ("05 sept. 1987", r"\d\d [a-z]{3}\. (19|20)\d\d"),
+    ("415 555 2671", r"[2-9]\d\d [2-9]\d\d \d{4}"), ("4155552671", r"[2-9]\d\d[2-9]\d{6}"),
+    ("+33 1 42 68 53 00", r"\+33 \d \d\d \d\d \d\d \d\d"), ("+353 1 234 5678", r"\+35\d \d \d{3} \d{4}"),
+    ("+44 (0)20 7946 0958", r"\+44 \(0\)\d\d \d{4} \d{4}"), ("4111.1111.1111.1111", r"\d{4}\.\d{4}\.\d{4}\.\d{4}"),
+    ("123 45 6789", r"\d{3} \d\d \d{4}")]
+
+
+def test_all_written_forms_are_replaced(spark):
+    frame = spark.createDataFrame([(i, f"x {text}, y") for i, (text, _) in enumerate(FORMS)], "doc_id long, text string")
+    for r in pseudonyms.pseudonymise(frame, "secret").collect():
+        text, shape = FORMS[r.doc_id]
+        assert r.text != f"x {text}, y" and re.fullmatch(f"x (?:{shape}), y", r.text), (text, r.text)
+        assert r.n_numbers + r.n_dates == 1
+
+
+def test_one_date_in_all_forms_is_one_date(spark):
+    said = "1987-03-05 05.03.1987 5/3/1987 March 5, 1987, 1987-03-05T10:00"
+    text = pseudonyms.pseudonymise(spark.createDataFrame([(1, said)], "doc_id long, text string"), "secret").first().text
+    year, month, day = re.match(r"(\d{4})-(\d\d)-(\d\d)", text).groups()
+    name = pseudonyms.MONTHS[int(month) - 1].capitalize()
+    assert text == (f"{year}-{month}-{day} {day}.{month}.{year} {int(day)}/{int(month)}/{year} {name} {int(day)}, {year}, "
+                    f"{year}-{month}-{day}T10:00")
+
+
+@pytest.mark.parametrize("text", ["Feb 30, 2001", "2/30/2001", "March 5, 1887", "666 12 1234", "4111.1111.1111.1112", "1155552671",
+                                  "1987-03-05Tuesday", "+44 1"])
+def test_odd_forms_that_fail_their_check_stay(spark, text):
+    assert pseudonyms.pseudonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), "secret").first().text == text
