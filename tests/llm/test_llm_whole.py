@@ -93,3 +93,27 @@ def test_one_date_in_all_forms_is_one_date(spark):
                                   "1987-03-05Tuesday", "+44 1"])
 def test_odd_forms_that_fail_their_check_stay(spark, text):
     assert pseudonyms.pseudonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), "secret").first().text == text
+
+
+def test_single_sentences_and_long_items_have_an_answer(spark):
+    draw = random.Random(4)
+    single = "a farmer has twelve red hens, buys nine more of them on a rainy monday, and owns twenty one hens now"
+    plain = " ".join(f"plain{i}" for i in range(16))
+    asked = [f"long{i}" for i in range(150)]
+    items = [(1, single), (2, plain), (3, f"{' '.join(asked)}. the answer is forty two")]
+
+    def reworded(words, n):
+        at = set(draw.sample(range(n), int(0.4 * n)))
+        return " ".join(f"other{i}" if i in at else w for i, w in enumerate(words))
+
+    # No window of the long one is a copy, and the last keeps too little of itself.
+    texts = [reworded(single.split(), 14), reworded(plain.split(), 12),
+             f"{' '.join(w if i % 10 < (7 if i < 100 else 3) else 'other' for i, w in enumerate(asked))} the answer is forty two"]
+    filler = " ".join(f"word{i}" for i in range(100))
+    docs = [(i, f"{filler} {text} {filler}") for i, text in enumerate(texts, 1)]
+    docs += [(i + 3, text.replace("hens now", "x y z").replace("owns twenty", "u v").replace("plain15", "u").replace("forty two", "u v"))
+             for i, text in docs]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got if r.doc_id <= 3} == {(1, 1), (2, 2), (3, 3)}
+    assert not [r for r in got if r.doc_id in (4, 5) or r.overlap >= 0.8 and r.doc_id <= 2]
