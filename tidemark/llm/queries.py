@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, line_dedup, packing, preferences, pseudonyms, quality, simhash, token_counts, url_trust, warc
+from . import (
+    decontaminate,
+    line_dedup,
+    packing,
+    preferences,
+    prefix_trie,
+    pseudonyms,
+    quality,
+    simhash,
+    substrings,
+    token_counts,
+    url_trust,
+    vector_codes,
+    warc,
+)
 
 # Over the supplied tables only; a real key is a secret and comes from outside.
 PSEUDONYM_KEY = "supplied tables"
@@ -212,3 +226,119 @@ def _quality(table):
 @query("op10_token_counts")
 def _token_counts(table):
     return token_counts.count_tokens(table("documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+# CRC-32 (reflected, polynomial 0xEDB88320) of a decimal number, bit by bit.
+_CRC_SQL = """xor(4294967295, list_reduce([4294967295::bigint] || list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda v, bit: xor(v >> 1, 3988292384::bigint * (v & 1)))))"""
+
+
+@query("op11_prefix_trie", f"""
+    with turns as (
+        select conv_id, row_number() over (partition by conv_id order by turn nulls first, md5(role_bytes || ':' || role || text)) - 1 as pos,
+            role_bytes || ':' || role || text as said, strlen(text) as n_bytes
+        from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, strlen(coalesce(role, '')) as role_bytes
+              from conversations where conv_id is not null)
+    ), convs as (
+        select conv_id, conv_id - conv_id % 5 as base, count(*) as n, {_CRC_SQL} % 9 as h from turns group by conv_id
+    ), rebuilt as (
+        select c.conv_id, least(h, coalesce(b.n, 0)) as taken, c.h, c.base from convs c
+        left join (select conv_id as base, n from convs) b using (base)
+    ), placed as (
+        select r.conv_id, pos, said, n_bytes from rebuilt r join turns t on t.conv_id = r.base and pos < h
+        union all
+        select r.conv_id, pos - h + taken, said, n_bytes from rebuilt r join turns t on t.conv_id = r.conv_id and pos >= h
+    ), paths as (
+        select conv_id, 0 as depth, 'root' as node, null as parent, 0 as n_bytes from convs
+        union all
+        select conv_id, pos + 1, sha256(list_reduce(['root'] || said_list[:pos + 1], lambda a, b: sha256(a || b))),
+            case when pos = 0 then 'root' else sha256(list_reduce(['root'] || said_list[:pos], lambda a, b: sha256(a || b))) end, n_bytes
+        from placed join (select conv_id, list(said order by pos) as said_list from placed group by conv_id) using (conv_id)
+    ), nodes as materialized (
+        select node, any_value(parent) as parent, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+            (count(*) - 1) * any_value(n_bytes) as own from paths group by node
+    ), kids as (
+        select parent as node, count(*) as n_children from nodes where parent is not null group by parent
+    ), lasts as (
+        select node, conv_id from paths qualify row_number() over (partition by conv_id order by depth desc) = 1
+    ), ends as (
+        select node, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends from lasts group by node
+    ), above as (
+        select distinct p.node as top, q.node from paths p join paths q on p.conv_id = q.conv_id and p.depth <= q.depth
+    ), below as (
+        select top as node, count(*) filter (n_children is null) as n_leaves, sum(own) as saved
+        from above join nodes using (node) left join kids using (node) group by top
+    )
+    select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+        saved::bigint as saved_tokens, coalesce(ends, sha256('')) as ends_sha256
+    from nodes n join below using (node) left join kids using (node) left join ends using (node)
+    left join nodes p on p.node = n.parent
+""")
+def _trie(table):
+    return prefix_trie.rebuilt_trie(table("conversations"))
+
+
+@query("op12_count_min_substrings", r"""
+    with w as (
+        select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+    ), windows as (
+        select rid, doc_id, i, md5(array_to_string(words[i:i + 19], ' ')) as h
+        from w, unnest(range(1, len(words) - 18)) as u(i) where len(words) >= 20
+    ), firsts as (
+        select h, min({'doc_id': doc_id, 'i': i}) as first from windows group by h having count(*) > 1
+    ), lost as (
+        select rid, i, true as lost from windows join firsts using (h) where {'doc_id': doc_id, 'i': i} > first
+    ), marked as (
+        select rid, doc_id, word, i, coalesce(bool_or(lost) over (partition by rid order by i rows between 19 preceding and current row), false) as gone
+        from (select rid, doc_id, unnest(words) as word, generate_subscripts(words, 1) as i from w) left join lost using (rid, i)
+    )
+    select w.doc_id, len(words) as n_words, count(*) filter (gone) as n_removed,
+        sha256(coalesce(string_agg(word, ' ' order by i) filter (not gone), '')) as kept_sha256
+    from w left join marked using (rid) group by w.rid, w.doc_id, words
+""")
+def _substrings(table):
+    return substrings.drop_repeated_passages(table("documents"), digest=True)
+
+
+def _vector_sql() -> str:
+    """Assignment and means over the whole table, every round a table expression."""
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+
+    def assigned(books: str) -> str:
+        return f"""select rid, p, x, arg_min(e, d * {entries} + e) as e, min(d) as d from (
+            select rid, p, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+            from parts join {books} using (p)) group by rid, p, x"""
+
+    rounds = "".join(f"""
+    , a{i} as materialized ({assigned(f"books{i}")})
+    , books{i + 1} as materialized (
+        select p, e, coalesce(m, c) as c from books{i} left join (
+            select p, e, list(floor(v / n)::bigint order by k) as m from (
+                select p, e, k, sum(v) as v, count(*) as n
+                from (select p, e, unnest(x) as v, generate_subscripts(x, 1) as k from a{i}) group by p, e, k)
+            group by p, e) using (p, e)
+    )""" for i in range(vector_codes.ROUNDS))
+    last = vector_codes.ROUNDS
+    return f"""
+    with kept as (
+        select row_number() over (order by vec_id nulls last, embedding) - 1 as rid, vec_id, label,
+            list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::double)::bigint) as v
+        from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), parts as materialized (
+        select rid, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] as x
+        from kept, unnest(range({parts})) as u(p)
+    ), books0 as materialized (
+        select p, rid as e, x as c from parts where rid < {entries}
+    ){rounds}, coded as (
+        select rid, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error from ({assigned(f"books{last}")}) group by rid
+    )
+    select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+        (select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) from books{last}) as codebooks_sha256
+    from kept join coded using (rid)
+    """
+
+
+@query("op13_vector_codes", _vector_sql())
+def _vector_codes(table):
+    return vector_codes.compress(table("embeddings"))
