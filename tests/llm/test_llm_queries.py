@@ -12,7 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 from conftest import SF_DIR
 
-from tidemark.llm import decontaminate, quality
+from tidemark.llm import quality
 from tidemark.llm.queries import ORACLES, QUERIES, tokenizer_path
 from test_oracle import TABLES, plain
 
@@ -113,15 +113,7 @@ def test_packing(spark, documents):
 def test_decontamination_finds_what_brute_force_finds(spark, documents):
     items = pq.read_table(f"{SF_DIR}/benchmark.parquet").to_pylist()
     got = {(r.doc_id, r.item_id) for r in QUERIES["op5_latent_decontamination"](spark, SF_DIR).collect()}
-    want = set()
-    for item in items:
-        for part in decontaminate.passages(item["item_id"], item["text"]):
-            query = decontaminate.Passage(*part)
-            for one, text in documents:
-                words = decontaminate.words_of(text)
-                for start in range(0, max(1, len(words) - 32), 32):
-                    if query.holds(*query.compare(words, start, start + 64)):
-                        want.add((one, item["item_id"]))
+    want = brute.held_items(documents, [(i["item_id"], i["text"]) for i in items])
     assert want and got <= want
     assert len(got & want) >= 0.9 * len(want)
     assert got >= {(one, i["item_id"]) for one, text in documents for i in items if i["text"] in text}
