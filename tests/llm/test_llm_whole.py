@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import pytest
 
-from tidemark.llm import decontaminate, pseudonyms, url_trust
+from tidemark.llm import decontaminate, line_dedup, preferences, pseudonyms, simhash, url_trust
 
 
 def _items_in_documents(n_items, lengths=(5, 6, 7, 8, 10, 12, 16, 20, 30, 45, 60, 90, 150)):
@@ -144,3 +144,47 @@ def test_single_sentences_and_long_items_have_an_answer(spark):
     got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
     assert {(r.doc_id, r.item_id) for r in got if r.doc_id <= 3} == {(1, 1), (2, 2), (3, 3)}
     assert not [r for r in got if r.doc_id in (4, 5) or r.overlap >= 0.8 and r.doc_id <= 2]
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 1000])
+def test_a_link_farm_is_blocked_whatever_its_size(spark, n):
+    def link(*hosts):
+        return "".join(f'<a href="http://{h}/">x</a>' for h in hosts)
+
+    pages = [(i, f"http://farm{i}.org/", link("bad.net")) for i in range(n)] + [(-1, "http://bad.net/es/", "")]
+    pages += [(-2, "http://half.org/", link("bad.net", "fine.org")), (-3, "http://tenth.org/", link("bad.net", *[f"f{i}.org" for i in range(9)])),
+              (-4, "http://fan.org/", link("farm0.org")), (-5, "http://idle.org/", link("fine.org"))]
+    got = {r.page_id: r.verdict for r in url_trust.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in range(n)} == {"block"}
+    assert [got[i] for i in (-1, -2, -3, -4, -5)] == ["block", "block", "allow", "block", "allow"]
+
+
+def test_unlike_texts_of_one_id_stay(spark):
+    one, other = "the cat sat on the mat and looked at the dog " * 5, "nine ships sailed from the north in winter " * 5
+    rows = [(1, one, "a"), (1, other, "b"), (1, one, "c"), (2, one, "d"), (3, other, "e"), (None, one, "f"), (4, None, "g"), (4, "", "h"), (5, None, "i")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, _id string")).collect()
+    assert {(r.doc_id, r.text) for r in kept if r.doc_id != 4} == {(1, one), (1, other), (None, one)}
+    assert sum(r.doc_id == 4 for r in kept) == 1 and len(kept) == 4
+
+
+def test_rows_without_an_id_or_of_one_id_lose_their_own_lines(spark):
+    line = "a line that very many documents have"
+    rows = [(None, f"{line}\nonly here {i}") for i in range(50)] + [(7, f"{line}\nseven {i}") for i in range(50)] + [(8, line), (9, f"x\n{line}")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, N_LINES int")
+    got = line_dedup.drop_shared_lines(df).collect()
+    assert sorted(r.text for r in got) == sorted([t.split("\n")[1] for _, t in rows[:100]] + ["", f"x\n{line}"])
+    assert {c.lower() for c in df.columns} | {"n_dropped"} == {c.lower() for c in line_dedup.drop_shared_lines(df).columns}
+    assert len(line_dedup.drop_shared_lines(df).columns) == 4
+
+
+def test_tied_turns_stay(spark):
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "b"), (1, 0, "user", "b"), (1, 1, "assistant", "c"), (1, None, "system", "s"),
+            (2, 0, "user", "a"), (2, 0, "user", "x")]
+    chosen = spark.createDataFrame(rows, "pair_id long, turn long, role string, text string")
+    rejected = spark.createDataFrame([r for r in rows if r[3] not in ("c", "x")] + [(1, 1, "assistant", "d")], chosen.schema)
+    got = {(r.pair_id, r.segment): r for r in preferences.format_preferences(chosen, rejected).collect()}
+    zero = got[1, 0]
+    assert zero.n_prompt_turns == 2 and zero.prompt.count("\na<|") == zero.prompt.count("\nb<|") == 1
+    assert "\nc<|" in zero.chosen and "\nd<|" in zero.rejected and sum(len(r.prompt) > 0 for r in got.values()) == 3
+    two = got[2, 0]
+    assert sorted((two.prompt + two.chosen).count(f"\n{t}<|") for t in "ax") == [1, 1] and "x" not in two.rejected

@@ -35,30 +35,36 @@ def line_key(line: str, min_chars: int = MIN_KEY_CHARS) -> bytes | None:
 
 
 def _line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(id, key) for each different key of a document."""
+    """(id, row, key) for each different key of a document; ``row`` is a hash of its text."""
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            ids, keys = [], []
-            for one, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            ids, rows, keys = [], [], []
+            for one, text, row in zip(*(c.to_pylist() for c in part.columns)):
                 found = {line_key(line, min_chars) for line in text.split("\n")} if text else set()
                 found.discard(None)
                 ids += [one] * len(found)
+                rows += [row] * len(found)
                 keys += found
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["id", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(keys, pa.binary())],
+                                             ["id", "row", "key"])
 
-    return docs.mapInArrow(hashes, "id long, key binary").withColumn("short", F.xxhash64("key"))
+    return docs.select("id", "text", F.xxhash64("text").alias("row")).mapInArrow(hashes, "id long, row long, key binary").withColumn("short", F.xxhash64("key"))
 
 
 def dropped_lines(docs: DataFrame, min_chars: int, min_documents: int) -> DataFrame:
-    """(id, keys): the lines each document loses. ``docs`` has the columns id and text."""
+    """(id, row, keys): the lines each row loses. ``docs`` has the columns id and text.
+
+    Rows are counted as documents by their id, and collect their lines under
+    id and text, so many rows that share an id, or have none, are not one group.
+    """
     lines = _line_hashes(docs, min_chars)
     often = staged(lines.groupBy("short").count().filter(F.col("count") >= min_documents).select("short"), "often")
-    hot = staged(lines.join(often, "short", "left_semi").select("id", "key"), "hot-lines")
+    hot = staged(lines.join(often, "short", "left_semi").select("id", "row", "key"), "hot-lines")
     # Written first: a join of two new shuffles splits a line that very many documents hold.
     shared = staged(hot.groupBy("key").agg(F.count_distinct("id").alias("n"), F.max("id").alias("stays"))
                     .filter(F.col("n") >= min_documents).select("key", "stays"), "shared-lines")
     lost = hot.join(shared, "key").filter(F.col("id") != F.col("stays"))
-    return staged(lost.groupBy("id").agg(F.collect_set("key").alias("keys")), "lost-lines")
+    return staged(lost.groupBy("id", "row").agg(F.collect_set("key").alias("keys")), "lost-lines")
 
 
 def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -75,15 +81,17 @@ def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A null text is one empty line and stays null if nothing is dropped from
     it. Rows that repeat an id are one document when documents are counted.
-    Rows without an id count as one document below all others.
+    Rows without an id count as one document below all others. An empty table
+    gives no rows.
     """
     known = F.coalesce(docs[id_col].cast("bigint"), F.lit(_NO_ID))
     lost = dropped_lines(docs.select(known.alias("id"), docs[text_col].alias("text")), min_chars, min_documents)
     added = {"n_lines", "n_dropped"}
-    kept_columns = [c for c in docs.columns if c not in added] if not digest else [id_col, text_col]
+    kept_columns = [c for c in docs.columns if c.lower() not in added] if not digest else [id_col, text_col]
     # Prefixed, as the table may have any names of its own.
-    carried = docs.select(known.alias("_id"), *[docs[c].alias(f"c_{c}") for c in kept_columns])
-    joined = carried.join(lost.select(F.col("id").alias("_id"), F.col("keys").alias("_keys")), "_id", "left").drop("_id")
+    carried = docs.select(known.alias("_id"), F.xxhash64(docs[text_col]).alias("_row"), *[docs[c].alias(f"c_{c}") for c in kept_columns])
+    joined = carried.join(lost.select(F.col("id").alias("_id"), F.col("row").alias("_row"), F.col("keys").alias("_keys")),
+                          ["_id", "_row"], "left").drop("_id", "_row")
     where = kept_columns.index(text_col)
     fields = [docs.schema[c] for c in kept_columns]
     if digest:

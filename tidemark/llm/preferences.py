@@ -2,9 +2,9 @@
 
 The turns that both begin with are rendered once, as the prompt; what follows
 is rendered for each side with the spans to train on. The prefix is found by
-comparing the turns of the two sides where they meet, a row per turn, so no
-conversation is gathered to compare it, and rows of the result hold a bounded
-number of turns.
+digests of the turns alone, a row per turn, so no conversation is gathered to
+compare it; texts are shuffled once, to the rows of the result, which hold a
+bounded number of turn numbers.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.staging import staged
+
 OPEN, MIDDLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 TRAINED_ROLES = ("assistant",)
 SEGMENT_TURNS = 256
@@ -23,6 +25,14 @@ def _escaped(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
+def turn_digest(role: Column, text: Column) -> Column:
+    """MD5 of role and text; null differs from empty."""
+    def part(value):
+        return F.concat(F.coalesce(F.octet_length(value).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(value, F.lit("")))
+
+    return F.md5(F.concat(part(role), part(text)))
+
+
 def _rendered(turn: Column) -> Column:
     """(head, body, trained) of a turn."""
     return F.struct(
@@ -56,33 +66,34 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, segment_turns: in
     chosen_spans, rejected, rejected_spans``; spans are the characters of a
     completion that are trained on: bodies and end marks of assistant turns.
 
-    Turns go by their number; a null number goes first. Rows that repeat a
-    number in a conversation are one turn, the smallest by role and text. A
+    Turns go by their number, a null number first, and turns of one number by
+    their digest; rows that repeat all of it are one turn. A
     side without any turn of a pair has an empty completion, equal sides have
     two. A null role is rendered as "unknown", a null text as empty. A null
-    pair id is a pair of its own.
+    pair id is a pair of its own. Empty tables give no rows.
     """
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select("pair_id", F.coalesce(F.col("turn").cast("bigint"), F.lit(_BEFORE_ALL)).alias("turn"),
-                         F.lit(name).alias("side"), F.struct(
-                             F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")).alias("said"))
-
-    turns = side(chosen, "chosen").unionByName(side(rejected, "rejected")).groupBy("pair_id", "turn").agg(
-        *[F.min(F.when(F.col("side") == name, F.col("said"))).alias(name) for name in ("chosen", "rejected")])
-    parting = turns.filter(~F.col("chosen").eqNullSafe(F.col("rejected"))).groupBy("pair_id").agg(F.min("turn").alias("parting"))
-    parting = parting.withColumnRenamed("pair_id", "parted")
+        known = df.select("pair_id", F.coalesce(F.col("turn").cast("bigint"), F.lit(_BEFORE_ALL)).alias("turn"),
+                          F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+        return known.select("pair_id", F.struct("turn", turn_digest(F.col("role"), F.col("text")).alias("digest")).alias("at"),
+                            F.lit(name).alias("side"), F.struct("role", "text").alias("said"))
+
+    turns = side(chosen, "chosen").unionByName(side(rejected, "rejected"))
+    # Both sides are in the same order, so they part at the first turn that one of them lacks.
+    met = turns.groupBy("pair_id", "at").agg(*[F.max((F.col("side") == n).cast("int")).alias(n) for n in ("chosen", "rejected")])
+    parting = staged(met.filter("chosen + rejected < 2").groupBy("pair_id").agg(F.min("at").alias("parting"))
+                     .withColumnRenamed("pair_id", "parted"), "parting-turns")
     placed = turns.join(parting, F.col("pair_id").eqNullSafe(F.col("parted")), "left").withColumn(
-        "common", F.col("parting").isNull() | (F.col("turn") < F.col("parting")))
+        "common", F.col("parting").isNull() | (F.col("at") < F.col("parting"))).filter("side = 'chosen' or not common")
 
-    def listed(kept: Column, name: str) -> Column:
-        part = F.struct("turn", _rendered(F.col(name)).alias("part"))
-        sorted_parts = F.array_sort(F.collect_list(F.when(kept & F.col(name).isNotNull(), part)))
-        return F.transform(sorted_parts, lambda p: p["part"])
+    def listed(kept: Column) -> Column:
+        part = F.struct("at", _rendered(F.col("said")).alias("part"))
+        return F.transform(F.array_sort(F.collect_set(F.when(kept, part))), lambda p: p["part"])
 
-    # Turn numbers of a segment are different, so its lists are bounded.
-    rows = placed.groupBy("pair_id", F.floor(F.col("turn") / segment_turns).cast("bigint").alias("segment")).agg(
-        listed(F.col("common"), "chosen").alias("prompt"), listed(~F.col("common"), "chosen").alias("chosen"),
-        listed(~F.col("common"), "rejected").alias("rejected"))
+    # Turn numbers of a segment are few, so its lists are bounded; rows that repeat are one.
+    rows = placed.groupBy("pair_id", F.floor(F.col("at.turn") / segment_turns).cast("bigint").alias("segment")).agg(
+        listed(F.col("common")).alias("prompt"), listed(~F.col("common") & (F.col("side") == "chosen")).alias("chosen"),
+        listed(~F.col("common") & (F.col("side") == "rejected")).alias("rejected"))
     return rows.select(
         "pair_id", "segment", F.size("prompt").cast("bigint").alias("n_prompt_turns"), _text(F.col("prompt")).alias("prompt"),
         _text(F.col("chosen")).alias("chosen"), _spans(F.col("chosen")).alias("chosen_spans"),

@@ -88,10 +88,11 @@ def _url_trust_sql() -> str:
         union all select host, coalesce(v = 'allow', false), coalesce(v = 'block', false) from (
             select host, {case("host", "'/'", lambda v, r: v)} as v from (select distinct dst as host from pair)
             where host not in (select host from judged))
+    ), shares as (
+        select src, dst, n / sum(n) over (partition by src) as share from pair
     ), way as materialized (
-        select kind, host, dest, n / sum(n) over (partition by kind, host) as share from (
-            select 'trust' as kind, src as host, dst as dest, n from pair
-            union all select 'distrust', dst, src, n from pair)
+        select 'trust' as kind, src as host, dst as dest, share from shares
+        union all select 'distrust', dst, src, share from shares
     ), s0 as materialized (
         select 'trust' as kind, host, {1 - url_trust.DAMPING} as score from seed where trust
         union all select 'distrust', host, {1 - url_trust.DAMPING} from seed where distrust
@@ -144,8 +145,11 @@ def _decontamination(table):
 def _preferences_sql() -> str:
     def side(name):
         return f"""
-            coalesce(string_agg(head || body, '' order by turn) filter (not common and side = '{name}'), '') as {name},
-            coalesce(string_agg(span, ',' order by turn) filter (not common and trained and side = '{name}'), '') as {name}_mask"""
+            coalesce(string_agg(head || body, '' order by place) filter (not common and side = '{name}'), '') as {name},
+            coalesce(string_agg(span, ',' order by place) filter (not common and trained and side = '{name}'), '') as {name}_mask"""
+
+    def part(name):
+        return f"coalesce(strlen({name})::varchar, '-') || ':' || coalesce({name}, '')"
 
     close = preferences.CLOSE.strip()
     return f"""
@@ -153,28 +157,28 @@ def _preferences_sql() -> str:
         select conv_id, max(turn) as last_turn, arg_max(text, turn) as last_text from conversations
         where role = 'assistant' group by conv_id
     ), pairs as (
-        select 'chosen' as side, conv_id, turn, role, text from conversations
-        union all
-        select 'rejected', c.conv_id, turn, role, case when turn = l.last_turn then coalesce(o.last_text, '') else text end
-        from conversations c left join last l on c.conv_id = l.conv_id left join last o on o.conv_id = c.conv_id + 1
+        select distinct *, {{'turn': turn, 'digest': md5({part("role")} || {part("text")})}} as place from (
+            select 'chosen' as side, conv_id, turn, role, text from conversations
+            union all
+            select 'rejected', c.conv_id, turn, role, case when turn = l.last_turn then coalesce(o.last_text, '') else text end
+            from conversations c left join last l on c.conv_id = l.conv_id left join last o on o.conv_id = c.conv_id + 1)
     ), parting as (
-        select conv_id, min(turn) as parting from (
-            select conv_id, turn from pairs group by conv_id, turn
-            having count(*) < 2 or count(distinct text) > 1 or count(distinct role) > 1) group by conv_id
+        select conv_id, min(place) as parting from (
+            select conv_id, place from pairs group by conv_id, place having count(*) < 2) group by conv_id
     ), said as (
-        select side, p.conv_id, turn, coalesce(role = 'assistant', false) as trained, parting is null or turn < parting as common,
+        select side, p.conv_id, turn, place, coalesce(role = 'assistant', false) as trained, parting is null or place < parting as common,
             '{preferences.OPEN}' || replace(coalesce(role, 'unknown'), '<|', '< |') || chr(10) as head,
             replace(coalesce(text, ''), '<|', '< |') || '{close}' || chr(10) as body
         from pairs p left join parting using (conv_id)
     ), measured as (
         select *, sum(length(head) + length(body)) over (partition by conv_id, side, common, turn // {preferences.SEGMENT_TURNS}
-            order by turn) as stop from said
+            order by place) as stop from said
     ), spanned as (
         select *, (stop - length(body))::varchar || '-' || stop::varchar as span from measured
     )
     select conv_id as pair_id, turn // {preferences.SEGMENT_TURNS} as segment,
         count(*) filter (common and side = 'chosen') as n_prompt_turns,
-        coalesce(string_agg(head || body, '' order by turn) filter (common and side = 'chosen'), '') as prompt,
+        coalesce(string_agg(head || body, '' order by place) filter (common and side = 'chosen'), '') as prompt,
         {side("chosen")}, {side("rejected")}
     from spanned group by conv_id, turn // {preferences.SEGMENT_TURNS}
     """

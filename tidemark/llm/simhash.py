@@ -67,14 +67,18 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """(id, fp) per document. Texts with fewer words are one shingle; none gives zero."""
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                 words: int = SHINGLE_WORDS, seed: int = SEED, hashed: bool = False) -> DataFrame:
+    """(id, fp) per document, or (id, text_hash, fp). Texts with fewer words are one shingle; none gives zero."""
+    extra = [F.xxhash64(text_col).alias("text_hash")] if hashed else []
+
+    def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             found = [fingerprint(text, words, seed) for text in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], ["id", "fp"])
+            columns = [part.column(0), *part.columns[2:], pa.array(found, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "fp"] if hashed else ["id", "fp"])
 
-    return docs.select(docs[id_col].cast("bigint"), docs[text_col]).mapInArrow(hashed, "id long, fp long")
+    known = docs.select(docs[id_col].cast("bigint"), docs[text_col], *extra)
+    return known.mapInArrow(printed, "id long, text_hash long, fp long" if hashed else "id long, fp long")
 
 
 def _signed(value: int) -> int:
@@ -129,6 +133,19 @@ def links(entries: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     return verified.unionByName(starred).distinct()
 
 
+def _labelled(docs: DataFrame, id_col: str, text_col: str, max_list: int) -> tuple[DataFrame, DataFrame]:
+    """(id, text_hash, fp) per document, and (fp, group, component_id) per fingerprint."""
+    known = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].cast("string").alias("text"))
+    marked = staged(fingerprints(known, "id", "text", hashed=True), "fingerprints")
+    first = staged(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-entries")
+    found = staged(links(first.select("fp"), max_list), "simhash-links")
+    group = connected(found, "a", "b").withColumnRenamed("node", "fp")
+    named = first.join(group, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("group"))
+    named = staged(named, "simhash-groups")
+    smallest = staged(named.groupBy("group").agg(F.min("first").alias("component_id")), "simhash-smallest")
+    return marked, staged(named.join(smallest, "group").select("fp", "group", "component_id"), "simhash-labels")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_list: int = MAX_LIST) -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` and ``component_id``.
@@ -137,27 +154,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Fingerprints of four or fewer differing bits link; a component's id is the
     smallest document id in it. Empty and null texts have fingerprint zero and
     link like any other. Rows that repeat each give a row; a null id stays
-    null and is no component's id unless there is no other (then null).
+    null and is no component's id unless there is no other (then null). An
+    empty table gives no rows; other columns are ignored.
     """
-    marked = staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    first = staged(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-entries")
-    found = staged(links(first.select("fp")), "simhash-links")
-    group = connected(found, "a", "b").withColumnRenamed("node", "fp")
-    named = first.join(group, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("group"))
-    named = staged(named, "simhash-groups")
-    smallest = staged(named.groupBy("group").agg(F.min("first").alias("component_id")), "simhash-smallest")
-    labels = staged(named.join(smallest, "group").select("fp", "component_id"), "simhash-labels")
-    return marked.join(labels, "fp").select(
+    marked, labels = _labelled(docs, id_col, text_col, max_list)
+    return marked.join(labels.drop("group"), "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_list: int = MAX_LIST) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id, with all its columns.
 
-    Of rows that share this id one stays. Rows without an id cannot be told
-    apart and stay.
+    Rows that share an id are told apart by their texts: unlike texts are in
+    groups of their own and each stays, of like ones that with the smallest
+    hash, and of rows that repeat id and text one. Rows without an id cannot be
+    told apart and stay. An empty table gives no rows.
     """
-    found = near_duplicates(docs, id_col, text_col, max_list)
-    stay = staged(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct(), "simhash-stay")
-    known = docs.join(stay, docs[id_col] == stay["_id"], "left_semi").dropDuplicates([id_col])
+    marked, labels = _labelled(docs, id_col, text_col, max_list)
+    chosen = marked.filter("id is not null").join(labels.drop("component_id"), "fp").groupBy("group").agg(
+        F.min(F.struct("id", "text_hash")).alias("one"))
+    stay = staged(chosen.select(F.col("one.id").alias("_id"), F.col("one.text_hash").alias("_hash")).distinct(), "simhash-stay")
+    # A table may have columns of any names, so a row travels as one.
+    known = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("_id"),
+                        F.xxhash64(docs[text_col].cast("string")).alias("_hash"))
+    known = known.join(stay, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select("row.*")
     return known.unionByName(docs.filter(docs[id_col].isNull()))

@@ -2,7 +2,8 @@
 
 Trust spreads along links from hosts that the rules allow (personalised
 PageRank), distrust against them from hosts that the rules block: who links
-to a blocked host is suspect. Only DataFrame functions are used. Links are
+to a blocked host is suspect, by the share of its links that lead there, however
+many others do the same. Only DataFrame functions are used. Links are
 counted per pair of hosts before anything else, so a host with a third of all
 pages is a few rows of the graph; sums are combined before their shuffle.
 """
@@ -62,17 +63,19 @@ def host_links(pages: DataFrame) -> DataFrame:
 def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
     """(kind, host, score) for kind 'trust' along the links and 'distrust' against them.
 
-    ``seeds`` has kind and host; each seed starts with ``1 - damping``. A step
+    ``seeds`` has kind and host; each seed starts with ``1 - damping``. A link
+    passes on the share it has of its source's links, both ways: a host hands
+    out its trust once, and takes distrust as far as it links to it, so the
+    distrust that a blocked host gives does not shrink with its linkers. A step
     passes on what the last one has added, so hosts whose links are used up
     drop out; the steps end early only when nothing is left to pass on, as a
     small sum over all hosts says nothing about a single one.
     """
-    ways = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").unionByName(
-        links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n"))
     # Written first: a join of two new shuffles splits a host with very many links.
-    total = staged(ways.groupBy("kind", "host").agg(F.sum("n").alias("total")), "host-totals")
-    ways = staged(ways.join(total, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("share")),
-                  "host-links")
+    total = staged(links.groupBy("src").agg(F.sum("n").alias("total")), "host-totals")
+    shares = links.join(total, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
+    ways = staged(shares.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "share").unionByName(
+        shares.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "share")), "host-links")
     base = staged(seeds.select("kind", "host", F.lit(1.0 - damping).alias("score")), "host-seeds")
     added, steps = base, [base]
     for _ in range(iterations):
