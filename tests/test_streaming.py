@@ -19,7 +19,7 @@ from tidemark.sinks.streams import (
     UNTIL_CAUGHT_UP, await_all, emit_events, ingest_new_files, start_parquet_sink,
 )
 from tidemark.sources.streams import parse_events, read_event_stream
-from tidemark.streaming import mobile, music, serve, trips
+from tidemark.streaming import lifecycle, mobile, music, serve, trips
 
 
 class Feed:
@@ -191,7 +191,7 @@ def test_trip_starts_and_ends(spark, tmp_path):
         (2, {"trip_id": "late", "fare_amount": 5}), (3, {"trip_id": "late", "tip_amount": 1, "fare_amount": 6}),
         (4, {"trip_id": "unknown", "fare_amount": 5}), (5, {"trip_id": "text", "fare_amount": None}),
     ), 0)
-    out = held.read().drop("pickup_date", "attributes")
+    out = held.read().drop("pickup_date", "attributes", trips.APPLIED)
     d = Decimal
     assert rows(out) == [
         ("abc123", "2024-01-01 10:00:00", d("10.00"), d("100.00"), d("20.00"), d("120.00")),
@@ -200,7 +200,7 @@ def test_trip_starts_and_ends(spark, tmp_path):
     ]
     # A batch that is run again after a failure changes nothing.
     trips.apply_end_records(held, records(spark, (9, {"trip_id": "text", "fare_amount": 1})), 0)
-    assert rows(held.read().drop("pickup_date", "attributes")) == rows(out)
+    assert rows(held.read().drop("pickup_date", "attributes", trips.APPLIED)) == rows(out)
 
 
 def test_trips_keep_every_attribute(spark, tmp_path):
@@ -351,3 +351,95 @@ def test_batches_pair_trips_of_any_length(spark):
     assert trips.correlate_trips(starts, ends).first()["started_at"] == datetime(2020, 1, 1)
     with pytest.raises(ValueError):
         trips.correlate_trips(spark.readStream.format("rate").load().selectExpr("value trip_id", "timestamp started_at"), ends)
+
+
+def test_a_replayed_end_does_not_overtake_a_later_one(spark, tmp_path):
+    held = trips.create_trip_table(KeyedTable(spark, str(tmp_path / "trips")))
+    aside = str(tmp_path / "aside")
+    trips.apply_end_records(held, records(spark, (1, {"trip_id": "a", "fare_amount": 10, "tip_amount": 2, "note": "old", "gate": "n"})), aside=aside)
+    trips.apply_start_records(held, records(spark, (1, start("a"))))
+    trips.apply_end_records(held, records(spark, (5, {"trip_id": "a", "fare_amount": 99, "note": "new"})), aside=aside)
+    for _ in range(2):  # the second time there is nothing left
+        trips.replay_skipped(held, aside)
+        (row,) = held.read().select("fare_amount", "tip_amount", "end_sequence", trips.attribute("note"), trips.attribute("gate")).collect()
+        assert (float(row[0]), float(row[1]), *row[2:]) == (99.0, 2.0, 5, "new", "n")
+    assert trips.read_put_aside(spark, aside).count() == 0
+
+
+def test_ends_of_still_unknown_trips_stay_aside_once(spark, tmp_path):
+    held = trips.create_trip_table(KeyedTable(spark, str(tmp_path / "trips")))
+    aside = str(tmp_path / "aside")
+    trips.apply_start_records(held, records(spark, (1, start("a"))))
+    trips.apply_end_records(held, records(spark, (1, {"trip_id": "b", "fare_amount": 1})), aside=aside)
+    for _ in range(3):
+        trips.replay_skipped(held, aside)
+    assert [r["sequence"] for r in trips.read_put_aside(spark, aside).collect()] == ["1"]
+
+
+def test_outcomes_of_each_batch_of_ends(spark, tmp_path):
+    held = trips.create_trip_table(KeyedTable(spark, str(tmp_path / "trips")))
+    trips.apply_start_records(held, records(spark, (1, start("a")), (2, start("b"))))
+    path = str(tmp_path / "counts")
+    batch = records(spark, (1, {"trip_id": "a", "fare_amount": 3}), (2, {"trip_id": "b"}), (3, {"trip_id": "c", "fare_amount": 1}), (4, "no json"),
+                    (5, {"trip_id": "a", "fare_amount": None}))
+    for number, aside in ((0, str(tmp_path / "aside")), (0, str(tmp_path / "aside")), (1, None)):  # batch 0 is run again
+        trips.apply_end_records(held, batch, number, aside=aside, counts=path)
+    assert tuple(trips.outcome_counts(spark, path, trips.OUTCOMES).first()) == (4, 4, 2, 2)
+    held.retain(1)  # the version that the batch was merged into is gone
+    trips.apply_end_records(held, batch, 1, counts=path)
+    assert tuple(trips.outcome_counts(spark, path, trips.OUTCOMES).first()) == (4, 4, 2, 2)
+
+
+def test_new_files_go_by_their_headers(spark, tmp_path):
+    source, seen = tmp_path / "new", []
+    source.mkdir()
+    (source / "one.csv").write_text("b,a\n1,2\n")
+    (source / "two.csv").write_text("a,b,c\n3,4,5\n")
+    (source / "three.csv").write_text('a\n"7"\n')
+    await_all(spark, [ingest_new_files(
+        spark, str(source), str(tmp_path / "archive"), str(tmp_path / "checkpoint"), columns("a int, b int"),
+        lambda batch, _id: seen.extend(map(tuple, batch.collect())), header="true")])
+    assert sorted(seen) == [(2, 1), (3, 4), (7, None)]
+
+
+# -- trips as keyed state ------------------------------------------------------------
+
+
+def _trip_log(spark, tmp_path, wait="1 hour", **feeds):
+    """Send records to the feeds and let the log catch up."""
+    for feed in ("starts", "ends"):
+        if feed in feeds:
+            records(spark, *feeds[feed]).coalesce(1).write.mode("append").parquet(str(tmp_path / feed))
+        elif not (tmp_path / feed).exists():
+            records(spark).write.parquet(str(tmp_path / feed))
+    streams = [spark.readStream.schema("sequence long, data string").parquet(str(tmp_path / feed)) for feed in ("starts", "ends")]
+    await_all(spark, [lifecycle.start_trip_log(*streams, str(tmp_path / "log"), str(tmp_path / "log-c"), wait, UNTIL_CAUGHT_UP)])
+    table = lifecycle.trip_table(spark, str(tmp_path / "log"))
+    return {r.trip_id: r for r in table.collect()}, sorted(tuple(r) for r in lifecycle.records_aside(spark, str(tmp_path / "log")).select(
+        "outcome", "feed", "sequence").collect())
+
+
+def test_ends_wait_for_their_start(spark, tmp_path):
+    held, aside = _trip_log(spark, tmp_path, ends=[(1, {"trip_id": "a", "fare_amount": 10, "gate": "n"}), (2, {"trip_id": "x", "fare_amount": 1})])
+    assert held == {} and aside == []
+    waiting = lifecycle.waiting_ends(spark, str(tmp_path / "log-c"))
+    assert sorted((r.trip_id, r.sequence) for r in waiting.collect()) == [("a", 1), ("x", 2)]
+    held, aside = _trip_log(spark, tmp_path, starts=[(1, start("a"))])
+    assert (float(held["a"].fare_amount), held["a"].attributes["gate"]) == (10.0, "n") and set(held) == {"a"} and aside == []
+    # An older end fills what is missing and overtakes nothing; one that comes again changes nothing.
+    _trip_log(spark, tmp_path, ends=[(9, {"trip_id": "a", "fare_amount": 99})])
+    held, _ = _trip_log(spark, tmp_path, ends=[(5, {"trip_id": "a", "fare_amount": 50, "tip_amount": 7}), (9, {"trip_id": "a", "fare_amount": 99})])
+    assert (float(held["a"].fare_amount), float(held["a"].tip_amount)) == (99.0, 7.0)
+    changes = spark.read.schema(lifecycle.LOG).parquet(str(tmp_path / "log")).count()
+    again, _ = _trip_log(spark, tmp_path, ends=[(9, {"trip_id": "a", "fare_amount": 99})], starts=[(1, start("a"))])
+    assert again == held and spark.read.schema(lifecycle.LOG).parquet(str(tmp_path / "log")).count() == changes
+
+
+def test_ends_without_a_start_are_put_aside_in_time(spark, tmp_path):
+    _trip_log(spark, tmp_path, "1 second", ends=[(1, {"trip_id": "a", "fare_amount": 10}), (3, "no json")])
+    time.sleep(1.5)
+    held, aside = _trip_log(spark, tmp_path, "1 second", starts=[(1, start("b"))])
+    assert set(held) == {"b"} and aside == [("failed", "ends", 3), ("skipped", "ends", 1)]
+    # The start that comes too late finds none.
+    held, aside = _trip_log(spark, tmp_path, "1 second", starts=[(2, start("a"))])
+    assert held["a"].fare_amount is None and len(aside) == 2 and lifecycle.waiting_ends(spark, str(tmp_path / "log-c")).count() == 0

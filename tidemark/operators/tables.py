@@ -71,6 +71,10 @@ class KeyedTable:
         found = self.spark.read.schema(with_commit).option("basePath", f"{self.root}/data").parquet(*paths)
         return found.select(*schema.names)
 
+    def has(self, version: int) -> bool:
+        """Whether a version is still there."""
+        return storage.exists(self.spark, f"{self.root}/published/{version:010d}.json")
+
     # -- write ----------------------------------------------------------
     def _write(self, df: DataFrame, partition_by: str | None, version: int) -> dict[str, str]:
         """Write rows as a new commit; give the commit of each folder written."""

@@ -15,7 +15,7 @@ from ..session import scratch_path
 from ..sinks.streams import UNTIL_CAUGHT_UP, await_all, emit_events, ingest_new_files, start_parquet_sink
 from ..sources.envelope import decode_envelope, parse_envelope
 from ..sources.streams import read_event_stream
-from ..streaming import mobile, music, serve, trips
+from ..streaming import lifecycle, mobile, music, serve, trips
 from . import bindings as b
 from .core import money, query, ratio, table, ts
 from .kpis import CLICKS, LINE, N_PARTS, SPENDING_LIMIT
@@ -247,10 +247,8 @@ trips as (select * from orders left join ends on k = o_orderkey where o_orderpri
 """
 
 
-def run_trips(spark, sf, report: str | None = None, aside: str | None = None) -> KeyedTable:
-    """Both streams at once; ends that came before their start are applied when both have caught up."""
-    aside = aside or scratch_path(spark, "trips-aside")
-    trip_table = trips.create_trip_table(KeyedTable(spark, scratch_path(spark, "trips")))
+def trip_records(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Starts and ends, each with a field that is not declared."""
     starts = b.enveloped(
         b.known_trip_starts(spark, sf).withColumn("vendor", F.concat(F.lit("v"), F.col("trip_id"))),
         ["trip_id", "pickup_datetime", "estimated_fare_amount", "vendor"], ["sequence"],
@@ -259,6 +257,14 @@ def run_trips(spark, sf, report: str | None = None, aside: str | None = None) ->
         b.trip_ends(spark, sf).withColumn("payment", F.when(F.col("tip_amount") > 0, "card").otherwise("cash")),
         ["trip_id", "fare_amount", "tip_amount", "total_amount", "payment"], ["sequence"],
     )
+    return starts, ends
+
+
+def run_trips(spark, sf, report: str | None = None, aside: str | None = None) -> KeyedTable:
+    """Both streams at once; ends that came before their start are applied when both have caught up."""
+    aside = aside or scratch_path(spark, "trips-aside")
+    trip_table = trips.create_trip_table(KeyedTable(spark, scratch_path(spark, "trips")))
+    starts, ends = trip_records(spark, sf)
     await_all(spark, [
         trips.start_lifecycle(
             as_record_stream(records, kind), trip_table, scratch_path(spark, f"{kind}-checkpoint"), kind,
@@ -269,19 +275,63 @@ def run_trips(spark, sf, report: str | None = None, aside: str | None = None) ->
     return trip_table
 
 
-@query("trip_lifecycle", f"""{_TRIPS}
+_TRIP_ROWS = f"""{_TRIPS}
 select cast(o_orderkey as varchar) as trip_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as pickup_datetime,
   cast({money('o_totalprice')} as double) as estimated_fare_amount, cast(fare as double) as fare_amount,
   cast(tip as double) as tip_amount, cast(fare + tip as double) as total_amount, 'v' || o_orderkey as vendor,
-  case when tip > 0 then 'card' when tip is not null then 'cash' end as payment from trips""")
+  case when tip > 0 then 'card' when tip is not null then 'cash' end as payment from trips"""
+
+
+@query("trip_lifecycle", _TRIP_ROWS)
 def trip_lifecycle(spark, sf):
     """Starts create trips, ends patch the ones that are known; fields of either that are not declared stay."""
     held = run_trips(spark, sf).read()
     return held.select(
-        *[c for c in held.columns if c not in (trips.LAYOUT, trips.ATTRIBUTES)],
+        *[c for c in held.columns if c not in (trips.LAYOUT, trips.ATTRIBUTES, trips.APPLIED)],
         trips.attribute("vendor"), trips.attribute("payment"))
 
 
+def run_trip_log(spark, sf) -> tuple[str, str]:
+    """Both feeds into the state of each trip; folders of the log and of the checkpoint."""
+    path = scratch_path(spark, "trip-log")
+    starts, ends = (as_record_stream(records, kind) for kind, records in zip(("starts", "ends"), trip_records(spark, sf)))
+    await_all(spark, [lifecycle.start_trip_log(starts, ends, f"{path}/log", f"{path}/checkpoint", trigger=UNTIL_CAUGHT_UP)])
+    return f"{path}/log", f"{path}/checkpoint"
+
+
+@query("trip_state_lifecycle", _TRIP_ROWS)
+def trip_state_lifecycle(spark, sf):
+    """The trips of ``trip_lifecycle`` from keyed state: no replay, no folder written twice."""
+    held = lifecycle.trip_table(spark, run_trip_log(spark, sf)[0])
+    return held.select(*[c for c in held.columns if c != trips.ATTRIBUTES],
+                       *[F.col(trips.ATTRIBUTES)[name].alias(name) for name in ("vendor", "payment")])
+
+
+@query("trip_ends_waiting", """
+select distinct cast(l_orderkey as varchar) as trip_id, l_orderkey as sequence from lineitem join orders on o_orderkey = l_orderkey
+where o_orderpriority = '1-URGENT'""")
+def trip_ends_waiting(spark, sf):
+    """Ends of trips that have not started, listed from the state of the stream."""
+    return lifecycle.waiting_ends(spark, run_trip_log(spark, sf)[1]).select("trip_id", "sequence")
+
+
+@query("trip_outcomes", """
+with ends as (select distinct l_orderkey k, l_orderkey % 10 = 0 as cut, o_orderpriority <> '1-URGENT' as known
+  from lineitem join orders on o_orderkey = l_orderkey)
+select count(*) filter (not cut and known) as processed, count(*) filter (cut) as errors,
+  count(*) filter (not cut and not known) as skipped, count(*) filter (not cut and known) as triggered from ends""")
+def trip_outcomes(spark, sf):
+    """Outcomes of all batches of ends, observed as they are applied; every tenth record is cut short."""
+    held = trips.create_trip_table(KeyedTable(spark, scratch_path(spark, "trips")))
+    path = scratch_path(spark, "trip-outcomes")
+    starts, ends = trip_records(spark, sf)
+    trips.apply_start_records(held, starts, grain="month")
+    cut = ends.select("sequence", F.when(F.col("sequence") % 10 == 0, F.substring("data", 1, 8)).otherwise(F.col("data")).alias("data"))
+    await_all(spark, [trips.start_lifecycle(
+        as_record_stream(cut, "ends"), held, f"{path}/checkpoint", "ends", UNTIL_CAUGHT_UP, grain="month", counts=f"{path}/counts")])
+    return trips.outcome_counts(spark, f"{path}/counts", trips.OUTCOMES)
+
+
 @query("trip_records_aside", """
 select 'failed' as reason, cast(o_orderkey as varchar) as sequence from orders where o_orderpriority = '1-URGENT'
 union all

@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..sources.files import read_many
+
 EVERY_20_SECONDS = {"processingTime": "20 seconds"}
 UNTIL_CAUGHT_UP = {"availableNow": True}
+# What the stream of files knows of each; contents are not selected, so none is opened.
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+# Settings of the stream of files; all others are for reading them.
+FILE_OPTIONS = ("maxFilesPerTrigger", "latestFirst", "maxFileAge", "pathGlobFilter", "recursiveFileLookup")
 
 
 def start_parquet_sink(
@@ -76,15 +82,34 @@ def ingest_new_files(
     """Process files that are new since the last run, then move them to the archive.
 
     The checkpoint records which files are done, so none is taken twice. The
-    archive must lie outside the source; each dataset needs one of its own.
+    stream follows the files' names; a batch's files are read together, CSV by
+    the header of each file, so columns may be in any order (one that a file
+    lacks is null). A batch names at most the files that are new, or
+    ``maxFilesPerTrigger``. The archive must lie outside the source; each
+    dataset needs one of its own.
     """
     if f"{archive.rstrip('/')}/".startswith(f"{source.rstrip('/')}/"):
         raise ValueError("the archive must lie outside the source")
+    followed = {k: v for k, v in options.items() if k in FILE_OPTIONS}
+    reading = {k: v for k, v in options.items() if k not in FILE_OPTIONS}
+    multi_line = str(reading.get("multiLine", "false")).lower() == "true"
+
+    def take(files: DataFrame, batch_id: int) -> None:
+        # The source lists these files on the driver itself.
+        paths = [row[0] for row in files.toLocalIterator()]
+        if not paths:
+            rows = spark.createDataFrame([], schema)
+        elif fmt == "csv" and str(reading.get("header", "true")).lower() == "true":
+            rows = read_many(spark, paths, schema, multi_line)
+        else:
+            rows = spark.read.format(fmt).schema(schema).options(**reading).load(paths)
+        apply(rows, batch_id)
+
     files = (
-        spark.readStream.format(fmt).schema(schema).options(**options)
-        .option("cleanSource", "archive").option("sourceArchiveDir", archive).load(source)
+        spark.readStream.format("binaryFile").schema(FILES).options(**followed).option("cleanSource", "archive")
+        .option("sourceArchiveDir", archive).load(source).select("path")
     )
     return (
-        files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+        files.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
         .trigger(**UNTIL_CAUGHT_UP).start()
     )

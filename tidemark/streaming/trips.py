@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -26,10 +26,13 @@ ORDER = "sequence"
 LAYOUT = "pickup_date"
 TRIPS = columns(
     "trip_id string, pickup_datetime string, estimated_fare_amount decimal(18,2), "
-    "fare_amount decimal(18,2), tip_amount decimal(18,2), total_amount decimal(18,2), pickup_date date"
+    "fare_amount decimal(18,2), tip_amount decimal(18,2), total_amount decimal(18,2), pickup_date date, end_sequence bigint"
 ).add("attributes", ArrayType(StructType([StructField("key", StringType()), StructField("value", StringType())])))
 # Fields of a record beyond the declared ones, as text.
 ATTRIBUTES = "attributes"
+# The last end that was applied to a trip.
+APPLIED = "end_sequence"
+OUTCOMES = ["processed", "errors", "skipped", "triggered"]
 FAILED, SKIPPED = "failed", "skipped"
 FARES = ("map<string, struct<total_fare: decimal(28,2), count_trips: bigint, max_fare: double, "
          "min_fare: double, average_fare: double>>")
@@ -49,35 +52,45 @@ def _texts(names: list[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def _money_fields(parsed: DataFrame, fields: list[str], required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with a key whose amounts convert, and all others as received."""
+def _money_fields(parsed: DataFrame, fields: list[str], required: list[str]) -> Column:
+    """Whether a record has a key and amounts that convert."""
     ok = F.col("valid")
     for name in KEY + required:
         ok = ok & F.col(f"payload.{name}").isNotNull()
     for name in fields:
         text = F.col(f"payload.{name}")
         ok = ok & (text.isNull() | to_money(text).isNotNull())
-    good, bad = split_ok_failed(parsed, ok)
-    return good, bad.drop("payload", "valid")
+    return F.coalesce(ok, F.lit(False)).alias("ok")
 
 
-def decode_starts(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Started trips and failed records; the estimated fare must be a number.
-    Fields that are not declared are kept as attributes."""
+def judge_starts(records: DataFrame) -> DataFrame:
+    """Every record as received, with ``ok`` and the fields it has; the estimated
+    fare must be a number. Fields that are not declared are kept as attributes."""
     parsed = parse_envelope(records, _texts(KEY + START_FIELDS))
-    good, bad = _money_fields(parsed, ["estimated_fare_amount"], ["estimated_fare_amount"])
     fare = to_money(F.col("payload.estimated_fare_amount")).alias("estimated_fare_amount")
-    return good.select(ORDER, "payload.trip_id", "payload.pickup_datetime", fare, _attributes(KEY + START_FIELDS)), bad
+    return parsed.select(*records.columns, _money_fields(parsed, ["estimated_fare_amount"], ["estimated_fare_amount"]),
+                         "payload.trip_id", "payload.pickup_datetime", fare, _attributes(KEY + START_FIELDS))
 
 
-def decode_ends(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ended trips and failed records; amounts may be missing but not null."""
+def judge_ends(records: DataFrame) -> DataFrame:
+    """Every record as received, with ``ok`` and the fields it has; amounts may
+    be missing but not null."""
     parsed = parse_envelope(records, _texts(KEY + END_FIELDS), not_null=END_FIELDS)
-    good, bad = _money_fields(parsed, END_FIELDS, [])
-    return good.select(
-        ORDER, "payload.trip_id", *[to_money(F.col(f"payload.{n}")).alias(n) for n in END_FIELDS],
-        _attributes(KEY + END_FIELDS),
-    ), bad
+    amounts = [to_money(F.col(f"payload.{n}")).alias(n) for n in END_FIELDS]
+    return parsed.select(*records.columns, _money_fields(parsed, END_FIELDS, []), "payload.trip_id", *amounts,
+                         _attributes(KEY + END_FIELDS))
+
+
+def decode_starts(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Started trips, and failed records as received."""
+    good, bad = split_ok_failed(judge_starts(records), F.col("ok"))
+    return good.select(ORDER, "trip_id", "pickup_datetime", "estimated_fare_amount", ATTRIBUTES), bad.select(*records.columns)
+
+
+def decode_ends(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ended trips, and failed records as received."""
+    good, bad = split_ok_failed(judge_ends(records), F.col("ok"))
+    return good.select(ORDER, "trip_id", *END_FIELDS, ATTRIBUTES), bad.select(*records.columns)
 
 
 def create_trip_table(table: KeyedTable) -> KeyedTable:
@@ -101,8 +114,22 @@ def _start_merge(trips: DataFrame, starts: DataFrame, _keys: list[str]) -> DataF
     return apply_starts(ordered, starts, [ORDER]).drop(ORDER)
 
 
+def _not_yet_overtaken(trips: DataFrame, ends: DataFrame) -> DataFrame:
+    """Ends with what they may still set: all fields, or those that the trip
+    lacks if a later end has been applied to it already."""
+    held = trips.select(*KEY, *[F.col(c).alias(f"held_{c}") for c in [*END_FIELDS, ATTRIBUTES, APPLIED]])
+    newer = F.col(f"held_{APPLIED}").isNull() | (F.col(ORDER) > F.col(f"held_{APPLIED}"))
+    known = F.coalesce(F.transform(f"held_{ATTRIBUTES}", lambda a: a["key"]), F.array().cast("array<string>"))
+    fields = [F.when(newer | F.col(f"held_{c}").isNull(), F.col(c)).alias(c) for c in END_FIELDS]
+    rest = F.filter(ATTRIBUTES, lambda a: newer | ~F.array_contains(known, a["key"])).alias(ATTRIBUTES)
+    return ends.join(held, KEY, "left").select(
+        ORDER, *KEY, *fields, rest, F.when(newer, F.col(ORDER).cast("bigint")).alias(APPLIED))
+
+
 def _end_merge(trips: DataFrame, ends: DataFrame, _keys: list[str]) -> DataFrame:
-    """Declared fields are patched, attributes merged name by name; the last end decides."""
+    """Declared fields are patched, attributes merged name by name; the last end
+    decides, also among ends of different runs."""
+    ends = _not_yet_overtaken(trips, ends)
     patched = apply_ends(trips, ends.drop(ATTRIBUTES), [ORDER])
     brought = (
         ends.select(*KEY, ORDER, F.inline(ATTRIBUTES))
@@ -124,7 +151,11 @@ def _put_aside(rows: DataFrame, path: str | None, feed: str, reason: str, run_id
     """Write records that were not applied, as received, under the feed and the reason."""
     if path is not None:
         rows.select(F.col(ORDER).cast("string").alias(ORDER), "data").write.mode("overwrite").parquet(
-            f"{path.rstrip('/')}/feed={feed}/reason={reason}/run={run_id}")
+            f"{_aside_folder(path, feed, reason)}/run={run_id}")
+
+
+def _aside_folder(path: str, feed: str, reason: str) -> str:
+    return f"{path.rstrip('/')}/feed={feed}/reason={reason}"
 
 
 def read_put_aside(spark: SparkSession, path: str) -> DataFrame:
@@ -148,23 +179,43 @@ def apply_start_records(
 
 def apply_end_records(
     table: KeyedTable, records: DataFrame, batch: int | None = None, report_path: str | None = None,
-    aside: str | None = None,
+    aside: str | None = None, counts: str | None = None,
 ) -> None:
     """Patch known trips; then report the fares of the dates the batch touched.
 
     Records that fail, and ends of trips that are not known, go to the folder
-    ``aside``. A batch that is run again writes the same folders again.
+    ``aside``. Under ``counts`` the outcomes of the batch are written, observed
+    by the passes that do the work: ends applied, records that failed, ends
+    skipped, and applied ends that set a field, each of which asks for the
+    report. A batch that is run again writes the same folders again.
     """
-    records = staged(records, "trip-ends")
-    ended, failed = decode_ends(records)
+    seen, unseen = Observation(), Observation()
+    brings = F.size(ATTRIBUTES) > 0
+    for name in END_FIELDS:
+        brings = brings | F.col(name).isNotNull()
+    # Decoded once; the same pass counts.
+    judged = staged(judge_ends(records).withColumn("brings", brings).observe(
+        seen, F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("errors"), F.count_if(F.col("ok") & F.col("brings")).alias("set")),
+        "trip-ends")
+    ended = judged.filter("ok").select(ORDER, *KEY, *END_FIELDS, ATTRIBUTES)
     run_id = _run_id(table, batch)
     table.upsert(ended, KEY, _end_merge, feed="ends", batch=batch)
-    _put_aside(failed, aside, "ends", FAILED, run_id)
-    if aside is not None:
+    _put_aside(judged.filter("not ok"), aside, "ends", FAILED, run_id)
+    if aside is not None or counts is not None:
         # Unknown to the version that the batch was merged into, not to a later one.
-        known = table.read(version=table.merged_into("ends"))
-        unknown = skipped_ends(known, ended).select(ORDER).distinct()
-        _put_aside(records.join(unknown, ORDER, "left_semi"), aside, "ends", SKIPPED, run_id)
+        merged = table.merged_into("ends")
+        known = table.read(version=merged if table.has(merged) else None)
+        unknown = skipped_ends(known, judged.filter("ok")).observe(
+            unseen, F.count("*").alias("skipped"), F.count_if("brings").alias("set"))
+        if aside is not None:
+            _put_aside(unknown, aside, "ends", SKIPPED, run_id)
+        else:
+            unknown.write.format("noop").mode("overwrite").save()
+    if counts is not None:
+        ok, skipped = seen.get["ok"], unseen.get["skipped"]
+        found = ok - skipped, seen.get["errors"], skipped, seen.get["set"] - unseen.get["set"]
+        table.spark.createDataFrame([found], ", ".join(f"{c} bigint" for c in OUTCOMES)).write.mode("overwrite").parquet(
+            f"{counts.rstrip('/')}/batch={run_id}")
     if report_path is not None:
         dates = table.touched_dates(ended.select(*KEY), KEY)
         write_json(daily_fares(table.read(dates)), report_path, run_id, "date")
@@ -172,7 +223,7 @@ def apply_end_records(
 
 def start_lifecycle(
     records: DataFrame, table: KeyedTable, checkpoint: str, kind: str, trigger: dict = EVERY_20_SECONDS,
-    report_path: str | None = None, grain: str = "day", aside: str | None = None,
+    report_path: str | None = None, grain: str = "day", aside: str | None = None, counts: str | None = None,
 ) -> StreamingQuery:
     """Keep the trip table up to date from a stream of ``starts`` or ``ends``.
 
@@ -188,7 +239,7 @@ def start_lifecycle(
         if kind == "starts":
             apply_start_records(table, batch, batch_id, grain, aside)
         else:
-            apply_end_records(table, batch, batch_id, report_path, aside)
+            apply_end_records(table, batch, batch_id, report_path, aside, counts)
 
     return (
         records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -197,9 +248,22 @@ def start_lifecycle(
 
 
 def replay_skipped(table: KeyedTable, aside: str, report_path: str | None = None) -> None:
-    """Apply ends that were put aside as skipped to the trips known by now."""
-    waiting = read_put_aside(table.spark, aside).filter((F.col("feed") == "ends") & (F.col("reason") == SKIPPED))
-    apply_end_records(table, waiting.select(F.col(ORDER).cast("bigint").alias(ORDER), "data"), report_path=report_path)
+    """Apply ends that were put aside as skipped to the trips known by now.
+
+    An end is applied only as far as no later one has been. Ends whose trip is
+    still unknown are put aside anew and the folders that were replayed are
+    removed, so a second call does only what is left; one that is cut short may
+    apply an end again, which changes nothing.
+    """
+    folder = _aside_folder(aside, "ends", SKIPPED)
+    runs = [entry.path for entry in storage.listing(table.spark, folder)]
+    if not runs:
+        return
+    waiting = table.spark.read.schema("sequence string, data string").parquet(*runs)
+    records = waiting.select(F.col(ORDER).cast("bigint").alias(ORDER), "data")
+    apply_end_records(table, records, report_path=report_path, aside=aside)
+    for run in runs:
+        storage.delete(table.spark, run)
 
 
 def latest_fares(spark: SparkSession, report_path: str) -> DataFrame:
@@ -230,12 +294,13 @@ def start_outcome_counts(
     )
 
 
-def outcome_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Processed and failed records of all batches; zero when none has run."""
+def outcome_counts(spark: SparkSession, path: str, names: list[str] = OUTCOMES[:2]) -> DataFrame:
+    """Outcomes of all batches, added up; zero when none has run."""
+    schema = ", ".join(f"{c} bigint" for c in names)
     if not storage.exists(spark, path):
-        return spark.createDataFrame([(0, 0)], "processed bigint, errors bigint")
-    counted = spark.read.schema("processed bigint, errors bigint, batch bigint").parquet(path)
-    return counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("processed", "errors")])
+        return spark.createDataFrame([(0,) * len(names)], schema)
+    counted = spark.read.schema(f"{schema}, batch string").parquet(path)
+    return counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 
 
 def correlate_trips(
