@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.operators.ranking import within_rank
-from tidemark.plans import commerce, discounts, listening, rental, reports, trips
+from tidemark.operators.tables import KeyedTable
+from tidemark.plans import commerce, discounts, listening, rental, reports, rollups, trips
 
 T0 = datetime(2024, 1, 1)
 
@@ -245,3 +246,48 @@ def test_exact_sums_do_not_depend_on_row_order(spark):
     users = spark.range(7).toDF("user_id")
     one = rows(rental.user_metrics(df.orderBy("total_amount"), users))
     assert one == rows(rental.user_metrics(df.orderBy(F.desc("total_amount")).repartition(13), users))
+
+
+# -- roll-ups ------------------------------------------------------------------
+
+def heard(spark, *listed):
+    return spark.createDataFrame(listed, "user_id long, listen_time string")
+
+
+def test_bitmaps_of_hours_add_up_to_days_and_months(spark):
+    rnd = random.Random(3)
+    ids = [0, -5, 32768, 32769, 10**12, *range(1, 40)]
+    plays = [(rnd.choice(ids), f"2024-0{rnd.randint(1, 2)}-{rnd.randint(1, 3):02d} {rnd.randint(0, 23):02d}:10:00")
+             for _ in range(600)]
+    plays += [(None, "2024-01-01 00:00:00"), (3, None)]
+    cut = 250
+    hours = rollups.add_bitmaps(*[rollups.listener_bitmaps(heard(spark, *p)) for p in (plays[:cut], plays[cut:], plays[cut:])])
+    for level, width in (("day", 10), ("month", 7)):
+        users = defaultdict(set)
+        for user, at in plays:
+            if user is not None and at is not None:
+                users[at[:width]].add(user)
+        got = rollups.unique_listeners(hours, p=F.date_format("listen_date", "yyyy-MM-dd"[:width]))
+        assert rows(got) == sorted((p, len(u)) for p, u in users.items())
+    assert rollups.unique_listeners(rollups.listener_bitmaps(heard(spark, (1, "2024-01-01 00:00:00")).limit(0)), p=F.col("listen_date")).count() == 0
+
+
+def test_song_days_of_batches_give_the_report_of_all_plays(spark, music, tmp_path):
+    streams, songs_df, *_ = music
+    early = streams.filter("listen_time < '2024-01-01 12:00:00'")
+    late = streams.filter("listen_time >= '2024-01-01 12:00:00'")
+    table = KeyedTable(spark, str(tmp_path / "days"))
+    for batch, part in enumerate((early, late)):
+        rollups.keep_song_days(table, part, "plays", batch)
+    before = table._published()["slices"]
+    rollups.keep_song_days(table, late, "plays", 1)
+    assert table._published()["slices"] == before
+    got = listening.top_of_song_days(rollups.with_user_estimate(table.read()), songs_df)
+    want = listening.top_songs(streams, songs_df)
+    # Few users: both estimates are exact.
+    assert rows(got.select(*want.columns)) == rows(want)
+    # A batch of another day leaves the first days alone.
+    march = spark.createDataFrame([("u1", "t1", "2024-03-05 10:00:00")], streams.schema)
+    rollups.keep_song_days(table, march, "plays", 2)
+    after = table._published()["slices"]
+    assert {f: after[f] for f in before} == before and set(after) - set(before) == {"report_date=2024-03-05"}

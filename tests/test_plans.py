@@ -167,3 +167,41 @@ def test_scratch_is_cleared(spark, tmp_path):
     staged(spark.range(3), "cleared")
     session.clear_scratch(spark)
     assert storage.listing(spark, session._scratch(spark)) == []
+
+
+def skewed(spark, n=9000):
+    """A third of the rows under one key, a tenth without a key, the rest spread."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, "hot").when(i % 10 != 1, F.concat(F.lit("k"), i % 3000))
+    return spark.range(n).select(key.alias("k"), i.alias("v"))
+
+
+def test_a_sketch_names_every_key_above_the_share(spark):
+    df = skewed(spark)
+    assert rows(joins.hot_key_counts(df, ["k"], 1 / 20)) == sorted(
+        rows(df.groupBy("k").count().filter("count > 450")), key=lambda r: (r[0] is None, r[0]))
+    assert [r["k"] for r in joins.hot_key_counts(df.filter("k is not null"), ["k"], 0.3).collect()] == ["hot"]
+    # Two columns, nothing above the share, no rows.
+    assert joins.hot_key_counts(df, ["k", "v"], 1 / 512).count() == 0
+    assert joins.hot_hashes(df.limit(0), ["k"], 0.1) == []
+    for share in (0, 1 / 1000, 2):
+        with pytest.raises(ValueError):
+            joins.hot_hashes(df, ["k"], share)
+
+
+def test_rows_of_the_other_side_are_copied_for_named_keys_only(spark, settings):
+    left = skewed(spark)
+    right = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"), "id").unionByName(
+        spark.createDataFrame([("hot", -1)], "k string, id long"))
+    hot = joins.hot_keys(left, ["k"], 1 / 20)
+    assert joins._copied(right, hot, 16).count() == 3001 + 15
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(joins.salted_join(left, right, ["k"], how, hot=hot)) == rows(left.join(right, "k", how))
+    # A third of the rows lie in many tasks, and so do those without a key.
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    spread = joins.salted_join(left, right, ["k"], "left", hot=hot).select("k", F.spark_partition_id().alias("p"))
+    tasks = dict(spread.groupBy("k").agg(F.count_distinct("p")).collect())
+    assert tasks.pop("hot") > 1 and tasks.pop(None) > 1
+    assert set(tasks.values()) == {1}
+    with pytest.raises(ValueError, match="one type"):
+        joins.salted_join(spark.range(3).toDF("k"), spark.range(3).select(F.col("id").cast("int").alias("k")), ["k"], hot=hot)

@@ -128,6 +128,20 @@ def test_music_metrics_with_a_small_and_a_large_catalogue(spark, tmp_path, setti
     ]
 
 
+def test_a_hot_track_named_by_earlier_plays_is_spread_and_changes_nothing(spark, tmp_path, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    feed = Feed(tmp_path / "in")
+    listed = [(f"u{i}", "t1" if i % 3 else "t2", f"2024-01-01 10:{i % 30:02d}:00") for i in range(60)]
+    feed.send(*plays(*listed, ("u1", "t1", "2024-01-01 12:00:00")))
+    songs = spark.createDataFrame(SONGS + [(f"x{i}", "a", "b", 1) for i in range(50)], SONG_SCHEMA)
+    events = music.with_listen_time(feed.stream(spark, STREAMS))
+    history = spark.createDataFrame(listed, "user_id string, track_id string, listen_time string")
+    named, all_salted = (music.music_metrics(events, songs, h) for h in (history, None))
+    (tmp_path / "a").mkdir(), (tmp_path / "b").mkdir()
+    want = rows(run(all_salted, tmp_path / "b"))
+    assert rows(run(named, tmp_path / "a")) == want and [r[5] for r in want] == [40, 20]
+
+
 def test_a_failing_query_ends_the_others(spark, tmp_path):
     feed = Feed(tmp_path / "in")
     feed.send(log("10:00:00"))

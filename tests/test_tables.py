@@ -105,6 +105,46 @@ def test_missing_table_is_created_with_unique_keys(spark, tmp_path):
         KeyedTable(spark, str(tmp_path / "c")).read()
 
 
+PRODUCTS = "product_id long, department_id int, department string"
+
+
+def test_a_changed_product_rewrites_one_bucket(spark, tmp_path):
+    lake, layout = KeyedTable(spark, str(tmp_path / "lake")), LAKE_TABLES["products"]
+    held = [(i, 1, f"d{i}") for i in range(200)] + [(None, 2, "no key")]
+    upsert_lake_table(lake, spark.createDataFrame(held, PRODUCTS), layout)
+    before = lake._published()["slices"]
+    assert len(before) == lakehouse.BUCKETS
+    # Keys of another whole-number type find the same bucket.
+    change = spark.createDataFrame([(7, 3, "new")], PRODUCTS.replace("product_id long", "product_id int"))
+    upsert_lake_table(lake, change, layout)
+    after = lake._published()["slices"]
+    assert sum(after[f] != before[f] for f in before) == 1
+    assert set(rows(lake.read())) == {h for h in held if h[0] != 7} | {(7, 3, "new")}
+    assert len(lake.read(lake.touched_dates(change, ["product_id"])).inputFiles()) == 1
+
+
+def test_buckets_with_new_null_and_no_keys(spark, tmp_path):
+    lake = KeyedTable(spark, str(tmp_path / "lake"))
+    frame = lambda *r: spark.createDataFrame(list(r), "a int, b string, v int")
+    create_or_upsert(lake, frame((1, "x", 1), (2, None, 2)), ["a", "b"], buckets=4)
+    lake.upsert(frame(), ["a", "b"])
+    lake.upsert(frame((2, None, 3), (3, "z", 4)), ["b", "a"])
+    assert rows(lake.read()) == [(1, "x", 1), (2, None, 2), (2, None, 3), (3, "z", 4)]
+    # Other keys than those of the buckets: the whole table is read.
+    lake.upsert(frame((1, "moved", 5)), ["a"])
+    want = [(1, "moved", 5), (2, None, 2), (2, None, 3), (3, "z", 4)]
+    assert rows(lake.read()) == want
+    lake.rebucket(2)
+    assert rows(lake.read()) == want and len(lake._published()["slices"]) <= 2
+    lake.upsert(frame((3, "z", 6)), ["a", "b"])
+    assert (3, "z", 6) in rows(lake.read()) and lake.read().count() == 4
+    for bad in ({"buckets": 0, "keys": ["a"]}, {"buckets": 2}):
+        with pytest.raises(ValueError):
+            KeyedTable(spark, str(tmp_path / "bad")).create(frame(), **bad)
+    with pytest.raises(ValueError):
+        KeyedTable(spark, str(tmp_path / "plain")).create(frame()).rebucket(2)
+
+
 def test_layout_keys_are_lists():
     assert all(isinstance(t.keys, list) for t in lakehouse.LAKE_TABLES.values())
 

@@ -24,15 +24,17 @@ def spending(history: DataFrame, order_by: str | None = None) -> DataFrame:
 
 
 def user_discounts(
-    events: DataFrame, history: DataFrame, limit: int = SPENDING_LIMIT, order_by: str | None = None
+    events: DataFrame, history: DataFrame, limit: int = SPENDING_LIMIT, order_by: str | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """One row per event of a user whose spending, fraction cut off, is above the limit.
 
     Works on a batch and on a stream of events. ``history`` is reduced to one
     row per user (see ``spending``); store it first when a stream joins it, or
-    every micro-batch computes it again.
+    every micro-batch computes it again. ``seen`` are earlier events, from which
+    the join of a stream learns its hot users.
     """
     spenders = spending(history, order_by).filter(whole_part_above(F.col("total_amount_spent"), limit)).select("user_id")
-    return join_static(events, spenders, ["user_id"], "left_semi").select(
+    return join_static(events, spenders, ["user_id"], "left_semi", history=seen).select(
         "user_id", F.lit(DISCOUNT_PERCENTAGE).alias("discount_percentage")
     )

@@ -9,12 +9,20 @@ from pyspark.sql import DataFrame
 from ..operators.tables import KeyedTable, create_or_upsert, with_date
 
 
+# Folders of a table without dates; ``KeyedTable.rebucket`` raises it as a table grows.
+BUCKETS = 16
+
+
 @dataclass(frozen=True)
 class LakeTable:
     keys: list[str]
     ts_col: str | None = None
     date_col: str | None = None
 
+    @property
+    def buckets(self) -> int | None:
+        return None if self.date_col else BUCKETS
+
 
 # Key columns and partition date of each table.
 LAKE_TABLES = {
@@ -28,6 +36,6 @@ LAKE_TABLES = {
 
 
 def upsert_lake_table(table: KeyedTable, df: DataFrame, layout: LakeTable, **options) -> KeyedTable:
-    """Create the table, by date where it has one, or merge the rows into it."""
+    """Create the table, by date or by buckets of its keys, or merge the rows into it."""
     rows = with_date(df, layout.ts_col, layout.date_col) if layout.ts_col else df
-    return create_or_upsert(table, rows, layout.keys, layout.date_col, **options)
+    return create_or_upsert(table, rows, layout.keys, layout.date_col, layout.buckets, **options)

@@ -133,6 +133,12 @@ def top_songs(
         ),
         "song-day",
     )
+    return top_of_song_days(song_day, songs, per_genre, per_day)
+
+
+def top_of_song_days(song_day: DataFrame, songs: DataFrame, per_genre: int = 3, per_day: int = 5) -> DataFrame:
+    """As ``top_songs``, from one row per track and day: total_listens,
+    unique_users, total_listening_time and timed. It is read twice."""
     catalogue = songs.filter(F.col("track_id").isNotNull())
     genre_day, day = ["report_date", "track_genre"], ["report_date"]
     listens = value_counts(

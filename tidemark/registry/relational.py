@@ -148,6 +148,29 @@ def salted_join(spark, sf):
     return joins.salted_join(lines, kinds, ["l_partkey"]).drop("l_shipdate")
 
 
+HOT_SHARE = 1 / 64
+
+
+@query("hot_join_keys", f"""
+select lang, source, count(*) as n from documents group by 1, 2
+having count(*) > (select count(*) from documents) * {HOT_SHARE}""")
+def hot_join_keys(spark, sf):
+    """Keys that hold more than a share of the rows, found by a sketch."""
+    return joins.hot_key_counts(table(spark, sf, "documents"), ["lang", "source"], HOT_SHARE)
+
+
+@query("hot_key_join", """
+with groups as (select lang, source, count(*) as documents from documents group by 1, 2)
+select d.doc_id, d.lang, d.source, g.documents from documents d
+join groups g on g.lang = d.lang and g.source = d.source""")
+def hot_key_join(spark, sf):
+    """Only the keys that the sketch names are spread, and only their rows of the other side are copied."""
+    key = ["lang", "source"]
+    docs = table(spark, sf, "documents").select("doc_id", *key)
+    groups = docs.groupBy(*key).agg(F.count("*").alias("documents"))
+    return joins.salted_join(docs, groups, key, hot=joins.hot_keys(docs, key, HOT_SHARE))
+
+
 @query("recombined_aggregates", f"""
 select c_mktsegment as segment, count(*) as customers, {ratio("sum(cast(c_acctbal as decimal(18,2)))", "count(*)")} as mean_balance,
   cast(max({money('c_acctbal')}) as double) as top_balance from customer group by 1""")

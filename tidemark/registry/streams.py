@@ -78,9 +78,10 @@ from w where s + interval 30 minute <= (select m from mark) group by s, k, p_bra
 @query("music_metrics", _MUSIC)
 def music_metrics(spark, sf):
     """The approximate user count is held against the exact one of the window."""
-    plays = music.with_listen_time(as_json_stream(_plays(spark, sf), STREAMS, "plays"))
+    landed = _plays(spark, sf)
+    plays = music.with_listen_time(as_json_stream(landed, STREAMS, "plays"))
     catalogue = b.songs(spark, sf).withColumn("track_id", F.col("track_id").cast("string"))
-    windows = caught_up(music.music_metrics(plays, catalogue), "music")
+    windows = caught_up(music.music_metrics(plays, catalogue, landed), "music")
     exact = (
         music.with_listen_time(_plays(spark, sf)).groupBy(F.window("timestamp", music.WINDOW), "track_id")
         .agg(F.count_distinct("user_id").alias("exact_users"))
@@ -223,13 +224,13 @@ select cast(user_id as varchar) as key,
 from events where user_id in (select u from spenders)""")
 def derived_event_emit(spark, sf):
     """Discounts from a stream of enveloped cart events, sent on as messages."""
-    records = b.enveloped(b.cart_events(spark, sf).withColumn("user_id", F.col("user_id").cast("string")),
-                          ["user_id"], ["event_id"])
+    carts = b.cart_events(spark, sf).withColumn("user_id", F.col("user_id").cast("string"))
+    records = b.enveloped(carts, ["user_id"], ["event_id"])
     events, _failed = decode_envelope(as_record_stream(records, "carts"), columns("user_id string"))
     history = staged(
         b.purchase_history(spark, sf).withColumn("user_id", F.col("user_id").cast("string")), "purchase-history"
     )
-    found = discounts.user_discounts(events, history, SPENDING_LIMIT)
+    found = discounts.user_discounts(events, history, SPENDING_LIMIT, seen=carts)
     path = scratch_path(spark, "discounts")
     run = emit_events(
         found, "user_id", "parquet", {"path": f"{path}/out"}, f"{path}/checkpoint", UNTIL_CAUGHT_UP

@@ -18,14 +18,15 @@ def with_listen_time(events: DataFrame) -> DataFrame:
     return events.withColumn("timestamp", parse_timestamp(F.col("listen_time")))
 
 
-def music_metrics(events: DataFrame, songs: DataFrame) -> DataFrame:
+def music_metrics(events: DataFrame, songs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Listens, approximate users and mean duration per window and track.
 
     ``events``: user_id, track_id, timestamp. Rows are joined with the static
-    catalogue as they come and counted once the window has closed.
+    catalogue as they come and counted once the window has closed. ``history``
+    are earlier plays; they tell the tracks that a large catalogue is salted for.
     """
     catalogue = songs.select("track_id", "artists", "album_name", "duration_ms")
-    joined = join_static(events.withWatermark("timestamp", LATENESS), catalogue, ["track_id"])
+    joined = join_static(events.withWatermark("timestamp", LATENESS), catalogue, ["track_id"], history=history)
     return (
         joined.groupBy(F.window("timestamp", WINDOW), "track_id", "artists", "album_name")
         .agg(
