@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from datetime import datetime
 from decimal import Decimal
@@ -457,3 +458,35 @@ def test_ends_without_a_start_are_put_aside_in_time(spark, tmp_path):
     # The start that comes too late finds none.
     held, aside = _trip_log(spark, tmp_path, "1 second", starts=[(2, start("a"))])
     assert held["a"].fare_amount is None and len(aside) == 2 and lifecycle.waiting_ends(spark, str(tmp_path / "log-c")).count() == 0
+
+
+def test_the_newest_windows_are_read_from_few_folders(spark, tmp_path):
+    rows_of = lambda *times: spark.createDataFrame([(t, t, "s", i, "1") for i, t in enumerate(times)],
+        "window_start timestamp, window_end timestamp, status string, status_count long, postal_code string")
+
+    def written(name, *times):
+        df = rows_of(*times).withColumn("partition_hour", F.date_format("window_start", "HH"))
+        path = str(tmp_path / name)
+        df.write.partitionBy("partition_hour", "postal_code").parquet(f"{path}/status_count")
+        return path, df
+
+    # The same hours on two days, a gap over midnight, and a sparse month.
+    day = lambda d, h, m: datetime(2023, 1, d, h, m)
+    path, df = written("busy", *[day(d, h, m) for d in (1, 2) for h in (0, 22, 23) for m in range(0, 60, 2)])
+    recent = serve.read_recent(spark, path, "status_count")
+    assert rows(serve.latest_status_count(recent)) == rows(serve.latest_status_count(df))
+    assert recent.count() == 30
+    scan = recent._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert re.search(r"PartitionFilters: .*partition_hour#\d+ IN \(2[23],2[23]\)", scan)
+    assert "GreaterThan(window_start," in scan
+    path, df = written("sparse", *[day(d, (7 * d) % 24, 0) for d in range(1, 29)])
+    for n in (1, 3, 10, 28, 40):
+        recent = serve.read_recent(spark, path, "status_count", n)
+        assert rows(serve.latest_status_count(recent, n)) == rows(serve.latest_status_count(df, n))
+    assert serve.read_recent(spark, path, "status_count", 3).count() < 28
+    path, df = written("midnight", day(1, 23, 58), day(2, 0, 0), day(2, 0, 2), day(1, 4, 0))
+    assert serve.read_recent(spark, path, "status_count", 3).count() == 3
+    empty = str(tmp_path / "none")
+    (tmp_path / "none" / "status_count").mkdir(parents=True)
+    assert serve.read_recent(spark, empty, "status_count").count() == 0

@@ -105,6 +105,14 @@ def test_missing_table_is_created_with_unique_keys(spark, tmp_path):
         KeyedTable(spark, str(tmp_path / "c")).read()
 
 
+def test_staging_load_keeps_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('x,y\n1,"two\nlines, one text"\n2,plain\n')
+    schema = "id int, body string"
+    table = KeyedTable(spark, str(tmp_path / "stage"))
+    staged = files.load_staging(spark, str(tmp_path / "in.csv"), schema, table, multi_line=True)
+    assert rows(staged) == [(1, "two\nlines, one text"), (2, "plain")]
+
+
 PRODUCTS = "product_id long, department_id int, department string"
 
 

@@ -157,6 +157,17 @@ def mobile_metrics_together(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+def _recent(spark, sf, name):
+    """The metric written by its stream, of which the newest folders are read."""
+    path = scratch_path(spark, f"{name}-served")
+    run = start_parquet_sink(
+        mobile.metric_files(_logs(spark, sf), name), f"{path}/{name}", f"{path}/checkpoint",
+        mobile.PARTITIONS[name], UNTIL_CAUGHT_UP,
+    )
+    await_all(spark, [run])
+    return serve.read_recent(spark, path, name)
+
+
 def _r(expr, places):
     """Round half up, as over decimal text."""
     return f"cast(round(cast({expr} as decimal(20,9)), {places}) as double)"
@@ -166,21 +177,22 @@ def _r(expr, places):
 select event_type as operator, {_r('v', 0)} as average_signal, {_HOUR}, postal as postal_code, {_WINDOW}
 from ({_SIGNAL}) order by s desc, event_type, average_signal, postal limit 10""")
 def latest_signal_strength(spark, sf):
-    return serve.latest_signal_strength(signal_strength_by_operator(spark, sf))
+    return serve.latest_signal_strength(_rounded(_recent(spark, sf, "signal_strength_by_operator"), "average_signal"))
 
 
 @query("latest_gps_precision", f"""{_LOGS}
 select provider, {_r('p', 2)} as average_precision, {_r('k', 2)} as average_satellites, {_HOUR}, {_WINDOW}
 from ({_GPS}) order by s desc, provider limit 10""")
 def latest_gps_precision(spark, sf):
-    return serve.latest_gps_precision(gps_precision_by_provider(spark, sf))
+    recent = _recent(spark, sf, "gps_precision_by_provider")
+    return serve.latest_gps_precision(_rounded(recent, "average_precision", "average_satellites"))
 
 
 @query("latest_status_count", f"""{_LOGS}
 select event_type as status, n as status_count, {_HOUR}, postal as postal_code, {_WINDOW}
 from ({_STATUS}) order by s desc, event_type, n, postal limit 10""")
 def latest_status_count(spark, sf):
-    return serve.latest_status_count(status_count(spark, sf))
+    return serve.latest_status_count(_recent(spark, sf, "status_count"))
 
 
 # -- enrichment and lookups ------------------------------------------------------------

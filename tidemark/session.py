@@ -20,6 +20,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A field that is given twice has its last value, as in other JSON readers.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Times are written with minima and maxima, so that a filter on them skips
+    # files; the default form has none.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Window state can outgrow the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -89,9 +89,11 @@ def read_many(
         *[value_of(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
-def load_staging(spark: SparkSession, path: str, schema: StructType, table: KeyedTable | None = None) -> DataFrame:
+def load_staging(
+    spark: SparkSession, path: str, schema: StructType, table: KeyedTable | None = None, multi_line: bool = False
+) -> DataFrame:
     """Bulk load by position: the header is skipped and the schema names the columns."""
-    staged = spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema="true").csv(path)
+    staged = spark.read.schema(schema).options(**csv_options(multi_line), enforceSchema="true").csv(path)
     return table.create(staged).read() if table is not None else staged
 
 

@@ -2,10 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .mobile import read_metric
+
 NEWEST = 10
+HOUR_MICROS = 3_600_000_000
+HOURS_OF_DAY = 24
+
+
+def read_recent(spark: SparkSession, path: str, name: str, n: int = NEWEST) -> DataFrame:
+    """Written windows of a metric from a time on that leaves ``n`` or more.
+
+    The newest and oldest start come from a scan of that column. What is read
+    in full lies in the hour folders of the last hour, and in files whose
+    times reach into it; the span grows sixfold until it holds enough.
+    """
+    windows = read_metric(spark, path, name)
+    start = F.unix_micros("window_start")
+    oldest, newest = windows.agg(F.min(start), F.max(start)).first()
+    hours = 1
+    while newest is not None and newest - hours * HOUR_MICROS >= oldest:
+        recent = windows.filter(F.col("window_start") > F.timestamp_micros(F.lit(newest - hours * HOUR_MICROS)))
+        if hours < HOURS_OF_DAY:
+            last = newest // HOUR_MICROS
+            recent = recent.filter(F.col("partition_hour").isin(
+                [f"{(last - back) % HOURS_OF_DAY:02d}" for back in range(hours + 1)]))
+        if recent.limit(n).count() == n:
+            return recent
+        hours *= 6
+    return windows
 
 
 def _newest(df: DataFrame, columns: list, n: int) -> DataFrame:
