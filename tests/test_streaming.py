@@ -20,7 +20,7 @@ from tidemark.sinks.streams import (
     UNTIL_CAUGHT_UP, await_all, emit_events, ingest_new_files, start_parquet_sink,
 )
 from tidemark.sources.streams import parse_events, read_event_stream
-from tidemark.streaming import lifecycle, mobile, music, serve, trips
+from tidemark.streaming import lifecycle, mobile, music, serve, state, trips
 
 
 class Feed:
@@ -490,3 +490,29 @@ def test_the_newest_windows_are_read_from_few_folders(spark, tmp_path):
     empty = str(tmp_path / "none")
     (tmp_path / "none" / "status_count").mkdir(parents=True)
     assert serve.read_recent(spark, empty, "status_count").count() == 0
+
+
+def test_open_windows_and_late_rows_add_up(spark, tmp_path):
+    feed = Feed(tmp_path / "in")
+    logs = mobile.with_log_time(feed.stream(spark, MOBILE_LOG))
+    metric = mobile.status_count(logs)
+    keys = ["window_start", "postal_code", "status"]
+    feed.send(log("10:00:00"), log("10:00:30"), log("10:30:00"))
+    run(metric, tmp_path)
+    held = state.open_windows(spark, str(tmp_path / "checkpoint"))
+    assert held.columns == ["window_start", "window_end", "postal_code", "status", "partition_hour", "partial"]
+    assert rows(held.select("window_start", "partial.count")) == [(datetime(2023, 1, 1, 10, 30), 1)]
+    # Two rows are too late, one meets the window that is open, one opens another.
+    feed.send(log("10:00:10"), log("10:02:00", status="t"), log("10:31:00"), log("10:25:00"))
+    finished = run(metric, tmp_path)
+    held = state.open_windows(spark, str(tmp_path / "checkpoint")).withColumn("status_count", F.col("partial.count"))
+    landed = mobile.status_count(mobile.with_log_time(parse_events(spark.read.text(str(tmp_path / "in")), MOBILE_LOG)))
+    found = state.late_rows(landed, finished, held, keys, "status_count")
+    assert rows(found.select("window_start", "status", "landed", "finished", "open", "late")) == [
+        (datetime(2023, 1, 1, 10, 0), "s", 3, 2, 0, 1), (datetime(2023, 1, 1, 10, 2), "t", 1, 0, 0, 1),
+        (datetime(2023, 1, 1, 10, 24), "s", 1, 0, 1, 0), (datetime(2023, 1, 1, 10, 30), "s", 2, 0, 2, 0),
+    ]
+    # State as of an earlier batch.
+    first = state.open_windows(spark, str(tmp_path / "checkpoint"), batch_id=0)
+    assert rows(first.select("window_start", "partial.count")) == [
+        (datetime(2023, 1, 1, 10, 0), 2), (datetime(2023, 1, 1, 10, 30), 1)]

@@ -12,12 +12,13 @@ from ..operators.tables import KeyedTable
 from ..plans import clickstream, discounts
 from ..schemas import MOBILE_LOG, STREAMS, columns
 from ..session import scratch_path
+from ..sinks.compaction import CompactedFeed
 from ..sinks.streams import UNTIL_CAUGHT_UP, await_all, emit_events, ingest_new_files, start_parquet_sink
 from ..sources.envelope import decode_envelope, parse_envelope
 from ..sources.streams import read_event_stream
-from ..streaming import lifecycle, mobile, music, serve, trips
+from ..streaming import lifecycle, mobile, music, serve, state, trips
 from . import bindings as b
-from .core import money, query, ratio, table, ts
+from .core import day, money, query, ratio, table, ts
 from .kpis import CLICKS, LINE, N_PARTS, SPENDING_LIMIT
 
 
@@ -157,6 +158,62 @@ def mobile_metrics_together(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+_KEYS = ["window_start", "window_end", "postal_code", "status", "partition_hour"]
+
+
+@query("open_windows", f"""{_LOGS} select {_WINDOW}, postal as postal_code, event_type as status,
+  {_HOUR}, count(*) as status_count from w where s + interval 2 minute > (select m from mark)
+group by s, postal, event_type""")
+def open_windows(spark, sf):
+    """Windows that the stream holds back after all logs, from its state."""
+    path = scratch_path(spark, "held-back")
+    logs = mobile.metric_files(_logs(spark, sf), "status_count")
+    await_all(spark, [start_parquet_sink(
+        logs, f"{path}/out", f"{path}/checkpoint", mobile.PARTITIONS["status_count"], UNTIL_CAUGHT_UP)])
+    return state.open_windows(spark, f"{path}/checkpoint").select(*_KEYS, F.col("partial.count").alias("status_count"))
+
+
+@query("late_rows_per_window", f"""{_LOGS},
+counted as (select s, postal, event_type, count(*) as landed, count(*) filter (
+  t < timestamp '2023-01-01 12:00:00' and s + interval 2 minute <= (select m from mark)) as late,
+  s + interval 2 minute <= (select m from mark) as closed from w group by s, postal, event_type)
+select {_WINDOW}, postal as postal_code, event_type as status, {_HOUR}, landed,
+  case when closed then landed - late else 0 end as finished, case when closed then 0 else landed end as open, late
+from counted""")
+def late_rows_per_window(spark, sf):
+    """The logs of the morning land after those of the afternoon: every row is in
+    a finished window, in an open one, or counted as late."""
+    path = scratch_path(spark, "late")
+    wide = b.mobile_logs(spark, sf)
+    for half in ("hour >= '12'", "hour < '12'"):
+        wide.filter(half).select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(f"{path}/in")
+        logs = mobile.with_log_time(read_event_stream(spark, "text", {"path": f"{path}/in"}, MOBILE_LOG))
+        await_all(spark, [start_parquet_sink(
+            mobile.metric_files(logs, "status_count"), f"{path}/out/status_count", f"{path}/checkpoint",
+            mobile.PARTITIONS["status_count"], UNTIL_CAUGHT_UP)])
+    landed = mobile.status_count(mobile.with_log_time(wide))
+    held = state.open_windows(spark, f"{path}/checkpoint").withColumn("status_count", F.col("partial.count"))
+    return state.late_rows(landed, mobile.read_metric(spark, f"{path}/out", "status_count"), held, _KEYS, "status_count")
+
+
+@query("compacted_stream", f"""select event_id, event_type, value, {ts('ts')} as at,
+  {day('ts')} as event_date from events""")
+def compacted_stream(spark, sf):
+    """A stream's folder, compacted twice and folded while the stream goes on: every event once."""
+    path = scratch_path(spark, "compacted")
+    events = table(spark, sf, "events").select(
+        "event_id", "event_type", "value", F.col("ts").alias("at"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"))
+    feed = CompactedFeed(spark, f"{path}/out", f"{path}/compacted", events.schema, ["event_date"], fan_in=2)
+    for landing in range(3):
+        events.filter(F.pmod("event_id", F.lit(3)) == landing).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/in")
+        await_all(spark, [start_parquet_sink(stream, f"{path}/out", f"{path}/checkpoint", ["event_date"], UNTIL_CAUGHT_UP)])
+        if landing < 2:
+            feed.compact()
+    feed.fold()
+    return feed.read()
+
+
 def _recent(spark, sf, name):
     """The metric written by its stream, of which the newest folders are read."""
     path = scratch_path(spark, f"{name}-served")
