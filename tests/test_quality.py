@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from conftest import rows
@@ -127,3 +129,42 @@ def test_checks_read_quoted_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,body\n1,"two\nlines"\n2,x\n')
     (row,) = quality.check_format(spark, "d", str(tmp_path), {"id": "int"}, multi_line=True).collect()
     assert row["valid"]
+
+
+def scans(df):
+    return re.findall(r"FileScan (\w+)", df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+
+
+def test_a_check_scans_the_data_once(spark, tmp_path):
+    put(tmp_path, "a.csv", GOOD_ORDERS)
+    put(tmp_path, "b.csv", "order_id\n1\n")
+    found = quality.check_format(spark, "orders", str(tmp_path), FILE_CONTRACTS["orders"], counts=True)
+    assert scans(found).count("csv") == 1 and "text" not in scans(found)
+    # user_id and the other number are lacking in the only row of b.
+    assert {r["file"][-5:]: (r["rows"], r["bad_values"]) for r in found.collect()} == {"a.csv": (1, 0), "b.csv": (1, 2)}
+
+
+@pytest.mark.parametrize("text,multi_line,header", [
+    ("\n \nid,body\n1,2\n", False, ["id", "body"]), ('"two\nlines",b\n1,2\n', True, ["two\nlines", "b"]),
+    ('"open,b\n1,2\n', False, ["open,b\n"]), ('"a, b",,c\r\n1,2,3\r\n', False, ["a, b", "", "c"]), ("only", False, ["only"]),
+])
+def test_headers_as_written(spark, tmp_path, text, multi_line, header):
+    (tmp_path / "f.csv").write_bytes(text.encode())
+    ((_, found),) = quality.file_headers(spark, str(tmp_path), multi_line).collect()
+    assert found == header
+
+
+def test_headers_of_many_files_come_from_their_first_lines(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.csv").write_text(f"id,c{i}\n" + "1,2\n" * (200_000 if i == 7 else i))
+    (tmp_path / "empty.csv").write_text("")
+    found = {r["file"].rsplit("/", 1)[1]: r["header"] for r in quality.file_headers(spark, str(tmp_path)).collect()}
+    assert found == {f"{i}.csv": ["id", f"c{i}"] for i in range(40)}
+
+
+def test_places_are_told_apart_by_each_header(spark, tmp_path):
+    put(tmp_path, "a.csv", "id,text,id\nx,1,1\n,2,2\n")  # of columns with one name the first counts
+    put(tmp_path, "b.csv", "text,id\nx,1,extra\ny,2\nz\n")
+    found = quality.check_format(spark, "d", str(tmp_path), {"id": "int", "text": "float"}, counts=True)
+    assert {r["file"][-5:]: (r["problem"], r["rows"], r["bad_values"]) for r in found.collect()} == {
+        "a.csv": ("id: expected int", 2, 2), "b.csv": ("id: expected int", 3, 4)}

@@ -1,9 +1,10 @@
 """File checks and readiness gates.
 
-A check runs over all files of a dataset in one job and gives one row per
-file. Every file is read as plain cells next to its own header line, so files
-with different columns, or with columns in another order, need no separate
-read.
+A check gives one row per file of a dataset. The headers come from an index
+made of the first lines of each file; the files are then read once, as plain
+cells, and wrong values are counted by place. The header tells at the end what
+a place holds, so files with different columns, or with columns in another
+order, need no separate read, and no record is shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from .. import storage
 from ..functions.times import strip_utc
-from ..sources.files import FILE, file_cells, file_listing, headers, value_of
+from ..sources.files import FILE, file_cells, file_listing, header_index, value_of, widest
 from .staging import staged
 
 NO_ROWS = "no rows"
@@ -27,9 +28,9 @@ def check_columns(df: DataFrame, required: list[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
+def file_headers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """file and header, as an array of names, of every CSV file under a path."""
-    return headers(file_cells(spark, path, **EVERY_CSV)).select(FILE, "header")
+    return header_index(spark, path, multi_line, **EVERY_CSV)
 
 
 def _fits(value: Column, kind: str, strict: bool) -> Column:
@@ -53,13 +54,23 @@ def check_format(
     column with values of the wrong kind. ``strict`` also rejects unreadable
     timestamps. ``multi_line`` is for files whose quoted texts hold line breaks;
     ``counts`` adds the rows of each file and its values of the wrong kind."""
-    cells = file_cells(spark, path, multi_line, **EVERY_CSV)
-    lines = cells.join(headers(cells), FILE)
-    is_data = F.col("at") != F.col("first")
-    found = lines.groupBy(FILE).agg(
-        F.first("header").alias("header"), F.count_if(is_data).alias("rows"),
-        *[F.count_if(is_data & ~_fits(value_of(c), kind, strict)).alias(f"bad_{c}") for c, kind in contract.items()],
-    )
+    index = file_headers(spark, path, multi_line)
+    kinds = sorted(set(contract.values()))
+    places = file_cells(spark, path, widest(index), multi_line, **EVERY_CSV).select(FILE, F.posexplode("cells").alias("at", "value"))
+    # A row per file, place and task is shuffled, then one per file holds as many places as the widest header.
+    counted = places.groupBy(FILE, "at").agg(
+        F.count("*").alias("rows"), *[F.count_if(~_fits(F.col("value"), kind, strict)).alias(kind) for kind in kinds])
+    by_file = counted.groupBy(FILE).agg(F.max("rows").alias("rows"), F.map_from_entries(
+        F.collect_list(F.struct("at", F.struct(*kinds)))).alias("wrong"))
+
+    def bad(name: str, kind: str) -> Column:
+        at = F.array_position("header", name).cast("int") - 1
+        # A column that the file lacks is null in every row.
+        lacking = F.when(~_fits(F.lit(None).cast("string"), kind, strict), F.col("rows")).otherwise(0)
+        return F.coalesce(F.when(at < 0, lacking).otherwise(F.try_element_at("wrong", at)[kind]), F.lit(0))
+
+    found = index.join(by_file, FILE, "left").select(
+        FILE, "header", F.coalesce("rows", F.lit(0)).alias("rows"), *[bad(c, k).alias(f"bad_{c}") for c, k in contract.items()])
     missing = F.filter(F.array(*[F.lit(c) for c in contract]), lambda c: ~F.array_contains("header", c))
     problem = F.when(
         F.size(missing) > 0, F.concat(F.lit("missing columns: "), F.array_join(missing, ", "))
@@ -113,9 +124,10 @@ def read_valid_rows(
 
     Columns go by each file's own header; a value of another kind is null.
     """
-    cells = file_cells(spark, path, multi_line, **EVERY_CSV)
-    lines = cells.join(headers(cells), FILE).join(_valid_files(report, dataset), FILE, "left_semi")
-    return lines.filter(F.col("at") != F.col("first")).select(
+    # The files that pass are found first, a row each; those of no other are joined.
+    index = file_headers(spark, path, multi_line)
+    passed = index.join(_valid_files(report, dataset), FILE, "left_semi")
+    return file_cells(spark, path, widest(index), multi_line, **EVERY_CSV).join(passed, FILE).select(
         *[value_of(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+from functools import partial
+from itertools import dropwhile, islice
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.tables import KeyedTable
 from ..schemas import columns
+from ..session import scratch_path
 
 FILE = "file"
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
@@ -42,32 +49,60 @@ def read_csv(
     return found.select(*[f"`{name}`" for name in schema.names])
 
 
-def file_cells(spark: SparkSession, path: str | list[str], multi_line: bool = False, **options) -> DataFrame:
-    """Every record of the CSV files as an array of texts, header lines too.
+def header_index(spark: SparkSession, path: str | list[str], multi_line: bool = False, **options) -> DataFrame:
+    """file and header, as an array of names, of every CSV file that has a line.
 
-    There are as many cells as the widest header line has; what a record has
-    beyond its header belongs to no column.
+    A task per file takes its first lines and goes no further, whatever the
+    size of the file; the result is written once. The header is the first line
+    that is not blank, with ``multi_line`` several if its names hold line breaks.
+    """
+    # Settings of a session of its own: a file is one split, and each split a task.
+    alone = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        alone.conf.set(f"spark.sql.files.{name}", str(1 << 40))
+    alone.conf.set("spark.sql.files.maxPartitionNum", str((1 << 31) - 1))
+    alone.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    lines = alone.read.options(**options).text(path).select(
+        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"), "value")
+    found = scratch_path(spark, "headers")
+    lines.mapInArrow(partial(_header, multi_line), f"{FILE} string, header array<string>").write.parquet(found)
+    return spark.read.schema(f"{FILE} string, header array<string>").parquet(found)
+
+
+def _header(multi_line: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The header of the one file whose lines come in."""
+    name = None
+
+    def lines() -> Iterator[str]:
+        nonlocal name
+        for batch in batches:
+            if batch.num_rows and batch.column(1)[0].as_py():
+                return  # a later part of a very large file
+            for file, line in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                name = name or file
+                if file != name:
+                    raise ValueError("lines of several files in one task")
+                yield line + "\n"
+
+    filled = dropwhile(lambda line: not line.strip(), lines())
+    header = next(csv.reader(filled if multi_line else islice(filled, 1)), None)
+    if header is not None:
+        yield pa.RecordBatch.from_pydict({FILE: [name], "header": [header]})
+
+
+def file_cells(spark: SparkSession, path: str | list[str], width: int, multi_line: bool = False, **options) -> DataFrame:
+    """Every record below the header lines as an array of ``width`` texts, beside its file.
+
+    What a record has beyond that is left out, what it lacks is null.
     """
-    heads = (
-        spark.read.options(**options).text(path).filter(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias("at"), "value")
-        .filter("value <> ''").groupBy(FILE).agg(F.min_by("value", "at").alias("line"))
-    )
-    # One number; quoted commas in a header only make it larger.
-    width = heads.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(width)])
-    return spark.read.schema(schema).options(**csv_options(multi_line) | options | {"header": "false"}).csv(path).select(
-        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"), F.array(*schema.names).alias("cells"),
-    )
+    return spark.read.schema(schema).options(**csv_options(multi_line) | options, enforceSchema="true").csv(path).select(
+        F.col("_metadata.file_path").alias(FILE), F.array(*schema.names).alias("cells"))
 
 
-def headers(cells: DataFrame) -> DataFrame:
-    """file, header and the place of the header line."""
-    return cells.filter(F.col("block") == 0).groupBy(FILE).agg(
-        F.transform(F.min_by("cells", "at"), lambda name: F.coalesce(name, F.lit(""))).alias("header"),
-        F.min("at").alias("first"),
-    )
+def widest(index: DataFrame) -> int:
+    """Cells of the widest header; one number."""
+    return index.agg(F.max(F.size("header"))).first()[0] or 1
 
 
 def value_of(name: str) -> Column:
@@ -84,8 +119,8 @@ def read_many(
     Columns are taken by name from each file's own header; a file that lacks
     one gives nulls. All files are read by one scan, however many there are.
     """
-    cells = file_cells(spark, paths, multi_line)
-    return cells.join(headers(cells), FILE).filter(F.col("at") != F.col("first")).select(
+    index = header_index(spark, paths, multi_line)
+    return file_cells(spark, paths, widest(index), multi_line).join(index, FILE).select(
         *[value_of(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
