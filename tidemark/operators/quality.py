@@ -55,19 +55,19 @@ def check_format(
     timestamps. ``multi_line`` is for files whose quoted texts hold line breaks;
     ``counts`` adds the rows of each file and its values of the wrong kind."""
     index = file_headers(spark, path, multi_line)
-    kinds = sorted(set(contract.values()))
-    places = file_cells(spark, path, widest(index), multi_line, **EVERY_CSV).select(FILE, F.posexplode("cells").alias("at", "value"))
-    # A row per file, place and task is shuffled, then one per file holds as many places as the widest header.
-    counted = places.groupBy(FILE, "at").agg(
-        F.count("*").alias("rows"), *[F.count_if(~_fits(F.col("value"), kind, strict)).alias(kind) for kind in kinds])
-    by_file = counted.groupBy(FILE).agg(F.max("rows").alias("rows"), F.map_from_entries(
-        F.collect_list(F.struct("at", F.struct(*kinds)))).alias("wrong"))
+    at = {c: F.array_position("header", c).cast("int") for c in contract}
+    # Places that hold a column of the contract in some file, each with its kind: as many as a header has, at most.
+    wanted = F.array(*[F.struct(at[c].alias("at"), F.lit(kind).alias("kind")) for c, kind in contract.items()])
+    places = [tuple(r) for r in index.select(F.inline(wanted)).filter("at > 0").distinct().orderBy("at", "kind").toLocalIterator()]
+    cells = file_cells(spark, path, max([place for place, _ in places], default=1), multi_line, **EVERY_CSV)
+    by_file = cells.groupBy(FILE).agg(F.count("*").alias("rows"), *[
+        F.count_if(~_fits(F.get("cells", F.lit(place - 1)), kind, strict)).alias(f"{kind}_{place}") for place, kind in places])
 
     def bad(name: str, kind: str) -> Column:
-        at = F.array_position("header", name).cast("int") - 1
         # A column that the file lacks is null in every row.
-        lacking = F.when(~_fits(F.lit(None).cast("string"), kind, strict), F.col("rows")).otherwise(0)
-        return F.coalesce(F.when(at < 0, lacking).otherwise(F.try_element_at("wrong", at)[kind]), F.lit(0))
+        lacking = F.when(~_fits(F.lit(None).cast("string"), kind, strict) & (at[name] == 0), F.col("rows"))
+        held = [F.when(at[name] == place, F.col(f"{kind}_{place}")) for place, of in places if of == kind]
+        return F.coalesce(lacking, *held, F.lit(0))
 
     found = index.join(by_file, FILE, "left").select(
         FILE, "header", F.coalesce("rows", F.lit(0)).alias("rows"), *[bad(c, k).alias(f"bad_{c}") for c, k in contract.items()])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator
-from functools import partial
 from itertools import dropwhile, islice
 
 import pyarrow as pa
@@ -56,6 +55,26 @@ def header_index(spark: SparkSession, path: str | list[str], multi_line: bool =
     size of the file; the result is written once. The header is the first line
     that is not blank, with ``multi_line`` several if its names hold line breaks.
     """
+    def first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The header of the one file whose lines come in."""
+        name = None
+
+        def lines() -> Iterator[str]:
+            nonlocal name
+            for batch in batches:
+                if batch.num_rows and batch.column(1)[0].as_py():
+                    return  # a later part of a very large file
+                for file, line in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                    name = name or file
+                    if file != name:
+                        raise ValueError("lines of several files in one task")
+                    yield line + "\n"
+
+        filled = dropwhile(lambda line: not line.strip(), lines())
+        header = next(csv.reader(filled if multi_line else islice(filled, 1)), None)
+        if header is not None:
+            yield pa.RecordBatch.from_pydict({FILE: [name], "header": [header]})
+
     # Settings of a session of its own: a file is one split, and each split a task.
     alone = spark.newSession()
     for name in ("maxPartitionBytes", "openCostInBytes"):
@@ -65,31 +84,10 @@ def header_index(spark: SparkSession, path: str | list[str], multi_line: bool =
     lines = alone.read.options(**options).text(path).select(
         F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"), "value")
     found = scratch_path(spark, "headers")
-    lines.mapInArrow(partial(_header, multi_line), f"{FILE} string, header array<string>").write.parquet(found)
+    lines.mapInArrow(first_record, f"{FILE} string, header array<string>").write.parquet(found)
     return spark.read.schema(f"{FILE} string, header array<string>").parquet(found)
 
 
-def _header(multi_line: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The header of the one file whose lines come in."""
-    name = None
-
-    def lines() -> Iterator[str]:
-        nonlocal name
-        for batch in batches:
-            if batch.num_rows and batch.column(1)[0].as_py():
-                return  # a later part of a very large file
-            for file, line in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-                name = name or file
-                if file != name:
-                    raise ValueError("lines of several files in one task")
-                yield line + "\n"
-
-    filled = dropwhile(lambda line: not line.strip(), lines())
-    header = next(csv.reader(filled if multi_line else islice(filled, 1)), None)
-    if header is not None:
-        yield pa.RecordBatch.from_pydict({FILE: [name], "header": [header]})
-
-
 def file_cells(spark: SparkSession, path: str | list[str], width: int, multi_line: bool = False, **options) -> DataFrame:
     """Every record below the header lines as an array of ``width`` texts, beside its file.
 
