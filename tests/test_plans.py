@@ -106,6 +106,17 @@ def test_salted_join_spreads_one_key_and_gives_the_same_rows(spark, settings):
         joins.salted_join(left, right, ["k"], "full")
 
 
+def test_copies_of_a_salted_join_are_not_broadcast(spark):
+    left = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+    right = spark.range(7).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    assert fits_broadcast(right)
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        for hot in (None, F.col("k") == 3):
+            joined = joins.salted_join(left, right, ["k"], how, 4, hot)
+            assert "Broadcast" not in plan_of(joined)
+            assert rows(joined) == rows(left.join(right, "k", how))
+
+
 def test_merge_does_not_shuffle_the_target_for_a_small_source(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(path)

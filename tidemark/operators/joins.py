@@ -61,7 +61,9 @@ def salted_join(
     ``hot`` is a condition on the key columns; without it every key is spread.
     The salt is a hash of the row, so a task that is run again gives the same
     rows. Rows of the right side are repeated once per salt where their key is
-    hot, and stay single elsewhere.
+    hot, and stay single elsewhere. The copies are always shuffled: the
+    optimizer takes them for as small as the rows they were made from, and
+    would collect them all on the driver for a broadcast.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how}")
@@ -70,7 +72,7 @@ def salted_join(
     is_hot = F.lit(True) if hot is None else F.coalesce(hot, F.lit(False))
     salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     spread = left.withColumn(SALT, F.when(is_hot, salt).otherwise(0))
-    return spread.join(_copied(right, is_hot, salts), [*on, SALT], how).drop(SALT)
+    return spread.join(_copied(right, is_hot, salts).hint("merge"), [*on, SALT], how).drop(SALT)
 
 
 def _copied(right: DataFrame, is_hot: Column, salts: int) -> DataFrame:
