@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import re
 import time
+from collections import namedtuple
 from datetime import datetime
 from decimal import Decimal
 
@@ -460,6 +461,63 @@ def test_ends_without_a_start_are_put_aside_in_time(spark, tmp_path):
     assert held["a"].fare_amount is None and len(aside) == 2 and lifecycle.waiting_ends(spark, str(tmp_path / "log-c")).count() == 0
 
 
+def test_trips_of_a_page_share_its_state(spark):
+    """With a page for all, the state is called as often for 300 trips as for one."""
+    class Held:
+        def __init__(self):
+            self.calls, self.rows, self.timers = 0, [], set()
+
+        def getValueState(self, *_):
+            return self
+
+        def getListState(self, *_):
+            waiting = Held()
+            waiting.counts, waiting.get = self, lambda: waiting.called() or iter(list(waiting.rows))
+            waiting.clear = lambda: waiting.called() or waiting.rows.clear()
+            waiting.put = lambda rows: waiting.called() or setattr(waiting, "rows", list(rows))
+            waiting.appendList = lambda rows: waiting.called() or waiting.rows.extend(rows)
+            self.waiting = waiting
+            return waiting
+
+        def called(self):
+            getattr(self, "counts", self).calls += 1
+
+        def get(self):
+            self.called()
+            return self.rows
+
+        def update(self, value):
+            self.called()
+            self.rows = value
+
+        def registerTimer(self, at):
+            self.called()
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.called()
+            self.timers.remove(at)
+
+    Record, Clock = namedtuple("Record", "record"), namedtuple("Clock", "now")
+    Clock.getCurrentProcessingTimeInMs = lambda clock: clock.now
+
+    def sent(held, run, feed, names, now):
+        rows_sent = (Record(json.dumps({"trip_id": n, "feed": feed, "sequence": 1, "ok": True, "data": "d", "fare_amount": "2.00"})) for n in names)
+        return [(r.trip_id, r.change, str(r.fare_amount)) for r in run.handleInputRows((0,), rows_sent, Clock(now))]
+
+    calls = []
+    for n in (1, 300):
+        held, run, names = Held(), lifecycle.TripProcessor(10), [f"t{i}" for i in range(n)]
+        run.init(held)
+        assert sent(held, run, "ends", names, 100) == [] and held.timers == {110} and len(held.waiting.rows) == n
+        assert sent(held, run, "ends", ["x"], 105) == [] and held.timers == {110, 115}
+        assert sent(held, run, "starts", names, 106) == [(name, 1, "2.00") for name in names]
+        # The timer that the other trip waits for stays.
+        assert held.timers == {115} and held.waiting.rows == [("x", 1, "d")]
+        calls.append(held.calls)
+    assert calls[0] == calls[1]
+
+
 def test_the_newest_windows_are_read_from_few_folders(spark, tmp_path):
     rows_of = lambda *times: spark.createDataFrame([(t, t, "s", i, "1") for i, t in enumerate(times)],
         "window_start timestamp, window_end timestamp, status string, status_count long, postal_code string")

@@ -365,7 +365,9 @@ def run_trip_log(spark, sf) -> tuple[str, str]:
     """Both feeds into the state of each trip; folders of the log and of the checkpoint."""
     path = scratch_path(spark, "trip-log")
     starts, ends = (as_record_stream(records, kind) for kind, records in zip(("starts", "ends"), trip_records(spark, sf)))
-    await_all(spark, [lifecycle.start_trip_log(starts, ends, f"{path}/log", f"{path}/checkpoint", trigger=UNTIL_CAUGHT_UP)])
+    pages = -(-b.number_of(spark, sf, "orders") // lifecycle.PAGE_TRIPS)
+    await_all(spark, [lifecycle.start_trip_log(
+        starts, ends, f"{path}/log", f"{path}/checkpoint", trigger=UNTIL_CAUGHT_UP, pages=max(1, pages))])
     return f"{path}/log", f"{path}/checkpoint"
 
 
