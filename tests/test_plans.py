@@ -12,7 +12,8 @@ from tidemark.operators import joins, merge
 from tidemark.plans import commerce, rental
 from tidemark.registry import QUERIES
 from tidemark.registry import bindings as b
-from tidemark.session import fits_broadcast, shared_folder, size_shuffles
+from tidemark.registry.core import table
+from tidemark.session import TASK_LIMITS, configure, fits_broadcast, shared_folder, size_shuffles
 
 
 def plan_of(df) -> str:
@@ -106,6 +107,22 @@ def test_salted_join_spreads_one_key_and_gives_the_same_rows(spark, settings):
         joins.salted_join(left, right, ["k"], "full")
 
 
+def test_no_setting_lets_a_task_take_more_than_its_limits(spark, settings):
+    settings(files__maxPartitionBytes="128MB", adaptive__advisoryPartitionSizeInBytes="16k", execution__arrow__maxRecordsPerBatch="0")
+    configure(spark)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(TASK_LIMITS["spark.sql.files.maxPartitionBytes"])
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1024"
+    # What is lower stays.
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16k"
+
+
+def test_shuffles_of_files_are_sized_by_what_their_rows_take(spark, settings, tmp_path):
+    settings(shuffle__partitions="1")
+    spark.range(5_000_000).select(F.xxhash64("id").alias("a")).write.parquet(str(tmp_path / "t.parquet"))
+    table(spark, str(tmp_path), "t")
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
 def test_copies_of_a_salted_join_are_not_broadcast(spark):
     left = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
     right = spark.range(7).select(F.col("id").alias("k"), F.lit("v").alias("v"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import configure, size_shuffles
+from ..session import FILE_PARTITION_BYTES, configure, size_shuffles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +21,7 @@ WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A supplied table; shuffles are sized for the largest one that is read."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    size_shuffles(spark, rows)
+    size_shuffles(spark, rows, target=FILE_PARTITION_BYTES)
     return rows
 
 
