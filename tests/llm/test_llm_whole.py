@@ -49,6 +49,48 @@ def test_items_of_all_lengths_and_kinds_are_found(spark, n_items):
     assert min(share for (_, kind), share in recall.items() if kind == "copy") >= 0.99, recall
 
 
+def _corpus_of_windows(spark):
+    """Documents of no word, of one, of up to seven windows and of 70, and their texts."""
+    draw = random.Random(3)
+    say = lambda n: " ".join(draw.choices([f"w{i}" for i in range(500)], k=n))
+    texts = ["", None, "one", *(say(draw.randrange(1, 400)) for _ in range(40)), say(70 * 64)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), texts
+
+
+def test_the_fit_takes_all_windows_and_passages(spark, monkeypatch):
+    docs, texts = _corpus_of_windows(spark)
+    items = [(i, f"{text} item{i}") for i, text in enumerate(texts[3:30])]
+    fitted = []
+
+    def seen(rows, idf, *rest):
+        fitted.extend(rows.collect())
+        return np.zeros((decontaminate.FEATURES, 1), np.float32)
+
+    monkeypatch.setattr(decontaminate, "latent_space", seen)
+    monkeypatch.setattr(decontaminate, "FIT_WINDOWS", 10)
+    decontaminate.fit(docs, spark.createDataFrame(items, "item_id long, text string"))
+    found = {r.words for r in fitted}
+    assert found >= {r.words for r in decontaminate._statistics(docs).filter("words is not null").collect()}
+    assert found >= {decontaminate.features_of(p[1]).astype("<u2").tobytes() for item in items for p in decontaminate.passages(*item)}
+    # Each side weighs as ten rows: passages 16 times as much.
+    assert sum(r.weight ** 2 for r in fitted) == pytest.approx(10 + 160)
+
+
+def test_products_with_the_basis_are_those_of_the_matrix(spark):
+    draw = np.random.default_rng(5)
+    idf = np.where(draw.random(decontaminate.FEATURES) < 0.6, draw.random(decontaminate.FEATURES), 0).astype(np.float32)
+    basis = draw.standard_normal((decontaminate.FEATURES, 9)).astype(np.float32)
+    words = [(draw.zipf(1.3, n) % decontaminate.FEATURES).astype("<u2") for n in [*draw.integers(0, 65, 700), 0]]
+    weights = draw.random(len(words))
+    matrix = np.zeros((len(words), decontaminate.FEATURES))
+    for row, found, weight in zip(matrix, words, weights):
+        np.add.at(row, found, idf[found])
+        row *= weight / max(np.linalg.norm(row), 1e-9)
+    rows = spark.createDataFrame([(w.tobytes(), float(x)) for w, x in zip(words, weights)], "words binary, weight double").repartition(5)
+    got = decontaminate._multiplied(rows, idf, basis)
+    np.testing.assert_allclose(got, matrix.T @ (matrix @ basis), atol=2e-3)
+
+
 def test_a_space_of_zeros_finds_nothing():
     items, docs, _ = _items_in_documents(60)
     block = [p for item in items for p in decontaminate.passages(*item)]
