@@ -9,7 +9,8 @@ import brute
 import numpy as np
 import pytest
 
-from tidemark.llm import decontaminate, line_dedup, preferences, pseudonyms, simhash, url_trust
+from tidemark.llm import components, decontaminate, line_dedup, preferences, pseudonyms, simhash, url_trust
+from tidemark.operators.staging import staged
 
 
 def _items_in_documents(n_items, lengths=(5, 6, 7, 8, 10, 12, 16, 20, 30, 45, 60, 90, 150)):
@@ -201,6 +202,31 @@ def test_a_link_farm_is_blocked_whatever_its_size(spark, n):
     assert [got[i] for i in (-1, -2, -3, -4, -5)] == ["block", "block", "allow", "block", "allow"]
 
 
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    plans = []
+
+    def noted(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return staged(df, label)
+
+    monkeypatch.setattr(simhash, "staged", noted)
+    monkeypatch.setattr(components, "staged", noted)
+    monkeypatch.setattr(simhash, "BROADCAST_LISTS", 0)
+    base = "one two three four five six seven eight nine ten eleven twelve " * 4
+    rows = [(i, f"{base} {i % 40}") for i in range(200)] + [(i, f"nothing like {i} other " * 9) for i in range(200, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labelled = simhash._labelled(docs, "doc_id", "text", 4)
+    monkeypatch.setattr(simhash, "_labelled", lambda *_: labelled)
+    found, kept = simhash.near_duplicates(docs), simhash.keep_one(docs)
+    noted(found, "found"), noted(kept, "kept")
+    assert {label for label, plan in plans if "BroadcastHashJoin" in plan} == set()
+    assert {label for label, plan in plans if "SortMergeJoin" in plan} >= {"simhash-links", "components", "simhash-labels", "found", "kept"}
+    prints = [(one, brute.fingerprint(text)) for one, text in rows]
+    want = {one: c for (one, _), c in zip(prints, brute.components(prints))}
+    assert {r.doc_id: r.component_id for r in found.collect()} == want
+    assert {r.doc_id for r in kept.collect()} == set(want.values())
+
+
 def test_unlike_texts_of_one_id_stay(spark):
     one, other = "the cat sat on the mat and looked at the dog " * 5, "nine ships sailed from the north in winter " * 5
     rows = [(1, one, "a"), (1, other, "b"), (1, one, "c"), (2, one, "d"), (3, other, "e"), (None, one, "f"), (4, None, "g"), (4, "", "h"), (5, None, "i")]

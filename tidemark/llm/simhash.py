@@ -36,6 +36,10 @@ SEED = 42
 MAX_BITS = 4
 POSITIONS = 8
 MAX_LIST = 64
+# Spark broadcasts by the size of packed files, whose rows take many times as
+# much on the driver. So what grows with the corpus is merged, and the keys of
+# long lists, of which there may be none, are broadcast up to so many.
+BROADCAST_LISTS = 100_000
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -116,6 +120,8 @@ def links(entries: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
         "fp", "place", F.col("fp").bitwiseAND(F.col("mask")).alias("shared"))
     long = staged(index.groupBy("place", "shared").count().filter(F.col("count") > max_list).select("place", "shared"),
                   "simhash-long-lists")
+    if long.count() > BROADCAST_LISTS:
+        long = long.hint("merge")
     crowded = staged(index.join(long, ["place", "shared"], "left_semi").select("fp").distinct(), "simhash-crowded")
 
     short = index.join(long, ["place", "shared"], "left_anti").repartition(parts, "place", "shared")
@@ -129,7 +135,7 @@ def links(entries: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     spread = _exploded(crowded.repartition(parts, "fp"), _near_points(), "flip").select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
     first = staged(spread.groupBy("point").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1")
                    .select("point", "a"), "simhash-points")
-    starred = spread.join(first, "point").filter("fp <> a").select("a", F.col("fp").alias("b"))
+    starred = spread.join(first.hint("merge"), "point").filter("fp <> a").select("a", F.col("fp").alias("b"))
     return verified.unionByName(starred).distinct()
 
 
@@ -140,10 +146,10 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, max_list: int) -> tup
     first = staged(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-entries")
     found = staged(links(first.select("fp"), max_list), "simhash-links")
     group = connected(found, "a", "b").withColumnRenamed("node", "fp")
-    named = first.join(group, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("group"))
+    named = first.join(group.hint("merge"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("group"))
     named = staged(named, "simhash-groups")
     smallest = staged(named.groupBy("group").agg(F.min("first").alias("component_id")), "simhash-smallest")
-    return marked, staged(named.join(smallest, "group").select("fp", "group", "component_id"), "simhash-labels")
+    return marked, staged(named.join(smallest.hint("merge"), "group").select("fp", "group", "component_id"), "simhash-labels")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -158,7 +164,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives no rows; other columns are ignored.
     """
     marked, labels = _labelled(docs, id_col, text_col, max_list)
-    return marked.join(labels.drop("group"), "fp").select(
+    return marked.join(labels.drop("group").hint("merge"), "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -171,11 +177,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     told apart and stay. An empty table gives no rows.
     """
     marked, labels = _labelled(docs, id_col, text_col, max_list)
-    chosen = marked.filter("id is not null").join(labels.drop("component_id"), "fp").groupBy("group").agg(
+    chosen = marked.filter("id is not null").join(labels.drop("component_id").hint("merge"), "fp").groupBy("group").agg(
         F.min(F.struct("id", "text_hash")).alias("one"))
     stay = staged(chosen.select(F.col("one.id").alias("_id"), F.col("one.text_hash").alias("_hash")).distinct(), "simhash-stay")
     # A table may have columns of any names, so a row travels as one.
     known = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("_id"),
                         F.xxhash64(docs[text_col].cast("string")).alias("_hash"))
-    known = known.join(stay, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select("row.*")
+    known = known.join(stay.hint("merge"), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select("row.*")
     return known.unionByName(docs.filter(docs[id_col].isNull()))
