@@ -58,6 +58,17 @@ def _corpus_of_windows(spark):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), texts
 
 
+def test_windows_of_the_fit_cover_every_word(spark):
+    docs, texts = _corpus_of_windows(spark)
+    got = decontaminate._statistics(docs).filter("words is not null").collect()
+    windows = [np.frombuffer(r.words, "<u2") for r in got]
+    want = np.concatenate([decontaminate.features_of(decontaminate.words_of(text)) for text in texts])
+    assert np.array_equal(np.sort(np.concatenate(windows)), np.sort(want))
+    assert all(0 < len(w) <= decontaminate.WINDOW for w in windows)
+    # A document weighs as one window for each 64 of it.
+    assert sum(r.share for r in got) == pytest.approx(41 + 2)
+
+
 def test_the_fit_takes_all_windows_and_passages(spark, monkeypatch):
     docs, texts = _corpus_of_windows(spark)
     items = [(i, f"{text} item{i}") for i, text in enumerate(texts[3:30])]
